@@ -1,5 +1,67 @@
-"""Oracle SQL of the write/read-back queries."""
+"""Oracle SQL of the write/read-back queries (the state each must end in)."""
 
+from __future__ import annotations
 
-def io_oracle_sql():
-    return {}
+from strata.plans import oracle as O
+from strata.plans.io_queries import CUTOFF, RUN_SLICES
+from strata.params import parse_slices
+
+
+def _in(values) -> str:
+    return ", ".join(O.sql_str(v) for v in values)
+
+
+def io_oracle_sql() -> dict[str, str]:
+    run = parse_slices(RUN_SLICES)
+    months = """
+months AS (
+  SELECT strftime(unnest(generate_series(date_trunc('month', min(o_orderdate)),
+                                         date_trunc('month', max(o_orderdate)) + INTERVAL 1 MONTH,
+                                         INTERVAL 1 MONTH)), '%Y-%m') AS ym
+  FROM orders)"""
+    bronze_counts = f"""
+slice_counts AS (
+  SELECT m.ym,
+    CAST(count(r._valid) AS BIGINT) AS rows_read,
+    CAST(count_if(r._valid) AS BIGINT) AS rows_valid,
+    CAST(count_if(NOT r._valid) AS BIGINT) AS rows_quarantined,
+    CAST(count_if(r._valid AND r.passenger_count IS NULL) AS BIGINT) AS null_passenger_count
+  FROM months m LEFT JOIN raw_flagged r ON r.source_year_month = m.ym
+  GROUP BY m.ym)"""
+    silver = ("SELECT CAST(count(*) AS BIGINT) AS silver_rows, "
+              + ", ".join(f"CAST(count_if({c}) AS BIGINT) AS {c}" for c in (
+                  "is_suspicious", "is_airport_trip", "has_cbd_fee", "flag_long_duration", "flag_zero_distance",
+                  "flag_high_speed", "flag_extreme_fare", "flag_unknown_zone"))
+              + " FROM fact")
+    silver_names = [("bronze_rows", "(SELECT count(*) FROM bronze)"), ("silver_rows", "s.silver_rows"),
+                    ("suspicious_rows", "s.is_suspicious"), ("airport_trips", "s.is_airport_trip"),
+                    ("trips_with_cbd_fee", "s.has_cbd_fee"),
+                    *[(c, f"s.{c}") for c in ("flag_long_duration", "flag_zero_distance", "flag_high_speed",
+                                              "flag_extreme_fare", "flag_unknown_zone")],
+                    ("duplicates_removed", "(SELECT count(*) FROM bronze) - s.silver_rows")]
+    silver_rows = " UNION ALL ".join(
+        f"SELECT 'silver' AS layer, 'fact_trips' AS entity, {O.sql_str(n)} AS metric, CAST({e} AS BIGINT) AS value "
+        f"FROM silver_counts s" for n, e in silver_names)
+    bronze_rows = " UNION ALL ".join(
+        f"SELECT 'bronze' AS layer, 'yellow_trips_' || ym AS entity, {O.sql_str(mn)} AS metric, {mn} AS value "
+        f"FROM slice_counts" for mn in ("rows_read", "rows_valid", "rows_quarantined", "null_passenger_count"))
+    return {
+        "drift_normalize": f"""SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_orderstatus AS status,
+              o_totalprice AS total_price, o_orderdate AS order_date,
+              CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN o_orderpriority END AS priority,
+              CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN 'A' ELSE 'B' END AS delivery
+            FROM orders""",
+        "parallel_arrays_to_rows": O.w(O.WEATHER, "SELECT * FROM weather"),
+        "slice_scan": f"""SELECT *, strftime(o_orderdate, '%Y-%m') AS source_year_month FROM orders
+            WHERE strftime(o_orderdate, '%Y-%m') IN ({_in(run)})""",
+        "replace_slices": O.w(O.BRONZE, f"""SELECT * FROM bronze
+            WHERE source_year_month NOT IN ({_in(run)})
+               OR (source_year_month IN ({_in(run[:2])}) AND vendor_id <> 9)"""),
+        "upsert": """SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN c_acctbal + 100 ELSE c_acctbal END
+                AS c_acctbal, c_mktsegment
+            FROM customer""",
+        "clustered_layout": O.w(O.FACT, "SELECT * FROM fact"),
+        "load_metrics": O.w(O.FACT + "," + months + "," + bronze_counts + f""",
+silver_counts AS ({silver})""", bronze_rows + " UNION ALL " + silver_rows),
+    }
