@@ -1,10 +1,14 @@
 """Dimension lookups with a size-checked broadcast.
 
-A side is broadcast only when its size is bounded: either proven by the
-caller (a dimension whose key domain is fixed by a hard rule and unique), or
-checked here with a bounded count (``limit(n + 1).count()`` reads at most
-n + 1 rows). Past the bound the join is left to the planner, which with AQE
-picks a shuffle join, or a broadcast if runtime statistics allow.
+A side gets an explicit broadcast hint only when its size is bounded: proven
+by construction (a dimension restricted to a fixed key domain and unique on its
+key), or checked with a bounded count (``limit(n + 1).count()`` reads at most
+n + 1 rows). Otherwise no hint is given and Spark's own size check decides:
+the planner broadcasts a side whose stored size is under
+``spark.sql.autoBroadcastJoinThreshold``, AQE does the same from runtime sizes,
+and beyond that the join is a shuffle join. Small dimensions derived from
+large tables are therefore materialised as tables first (see
+``strata.plans.driver``), so the check sees their real size.
 """
 
 from __future__ import annotations
@@ -47,13 +51,14 @@ def code_view(codes: DataFrame, code_type: str, alias: str) -> DataFrame:
 
 
 def code_lookup(fact: DataFrame, codes: DataFrame, specs: Sequence[tuple[str, str, str]], default: str,
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """Decode several coded columns from one dictionary.
 
     ``specs`` = [(code_type, fact_column, output_alias)]; unmatched codes get ``default``.
-    The size check runs once on the whole dictionary, which bounds every code view.
+    With ``max_rows`` the dictionary is checked once (bounded count) and hinted;
+    without it Spark's size check on the stored dictionary decides.
     """
-    small = fits(codes, max_rows)
+    small = max_rows is not None and fits(codes, max_rows)
     out = fact
     for code_type, fact_col, alias in specs:
         view = code_view(codes, code_type, alias)

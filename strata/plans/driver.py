@@ -9,6 +9,7 @@ from strata.operators import dims, facts
 from strata.operators.rules import code_rules, trip_rules, zone_rules
 from strata.plans import mapping as M
 from strata.presets import DRIVER_PRESET
+from strata.session import scratch_path
 
 PRESET = DRIVER_PRESET
 
@@ -27,11 +28,20 @@ def zones(spark: SparkSession, d: str) -> DataFrame:
     return dims.zone_dim(valid, PRESET)
 
 
-def codes(spark: SparkSession, d: str) -> DataFrame:
+def codes_frame(spark: SparkSession, d: str) -> DataFrame:
     valid, _ = code_rules().split(M.code_source(spark, d))
     return dims.reference_dim(valid)
 
 
+def codes(spark: SparkSession, d: str) -> DataFrame:
+    """The code dictionary, materialised: it is derived from distinct values of the
+    two largest tables, so it is computed once and stored; the lookup joins then see
+    its real (tiny) size and Spark's size check broadcasts it."""
+    path = scratch_path(spark, "dim_reference")
+    codes_frame(spark, d).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     """Derived + looked-up + flagged trips, before de-duplication."""
     return facts.enrich(facts.derive(bronze(spark, d)), zones(spark, d), codes(spark, d), PRESET)

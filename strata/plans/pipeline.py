@@ -172,12 +172,12 @@ def build_fact_stage(spark: SparkSession, params: JobParams, preset: Preset = P.
     in_obs = Observation("fact_input")
     fact = facts.build_fact(bronze.observe(in_obs, F.count(F.lit(1)).alias("bronze_rows")), zones, codes, preset)
     if cluster:
-        fact = W.clustered(fact, "pu_location_id")
+        fact = W.clustered(fact, [SLICE, "pu_location_id"])
     counters = [F.count_if(c).alias(c) for c in ("is_suspicious", "is_airport_trip", "has_cbd_fee",
                                                   *facts.FLAG_COLUMNS)]
     out_obs = Observation("fact_output")
     written = W.replace_slices(fact, _t(params, "silver", "fact_trips"), SLICE, slices, observe=out_obs,
-                               extra_metrics=counters)
+                               extra_metrics=counters, rebalance=not cluster)
     m = {"bronze_rows": int(in_obs.get.get("bronze_rows", 0)), "silver_rows": sum(written.values())}
     got = out_obs.get
     m.update({"suspicious_rows": got.get("is_suspicious", 0), "airport_trips": got.get("is_airport_trip", 0),

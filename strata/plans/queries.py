@@ -66,7 +66,7 @@ def zone_dim(spark, d):
 
 
 def reference_dim(spark, d):
-    return D.codes(spark, d)
+    return D.codes_frame(spark, d)
 
 
 # -- A11 / B11-B13 / C4: calendar --------------------------------------------

@@ -68,18 +68,25 @@ def guard_slices(df: DataFrame, col: str, slices: Sequence[str]) -> DataFrame:
 
 
 def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
-                   observe: Observation | None = None, extra_metrics: Sequence = ()) -> dict[str, int]:
+                   observe: Observation | None = None, extra_metrics: Sequence = (),
+                   rebalance: bool = True) -> dict[str, int]:
     """Replace exactly ``slices`` of the table at ``path`` partitioned by ``col`` (K1, K2).
 
     Returns the number of rows written per requested slice. The counts come from
     an ``Observation`` on the write itself, so no extra job scans the data.
     ``extra_metrics`` are further aggregate Columns observed in the same pass.
+    With ``rebalance`` the rows are redistributed on the slice column first
+    (AQE splits a large slice and merges small ones to the advisory size), so a
+    slice is written as a few right-sized files instead of one file per task.
+    A frame that is already laid out (e.g. ``clustered``) passes ``rebalance=False``.
     """
     spark = df.sparkSession
     slices = list(dict.fromkeys(slices))
     obs = observe or Observation(f"slices_{uuid.uuid4().hex[:8]}")
     metrics = [F.count_if(F.col(col) == F.lit(s)).alias(f"rows::{s}") for s in slices] + list(extra_metrics)
     out = guard_slices(df, col, slices).observe(obs, *metrics)
+    if rebalance:
+        out = out.hint("rebalance", col)
     writer = out.write.partitionBy(col).option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite" if table_exists(spark, path) else "errorifexists").parquet(path)
     got = obs.get
@@ -113,10 +120,16 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def clustered(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``key`` and sort within files (F2)."""
+def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``keys`` and sort within files (F2).
+
+    With the slice column first, each task covers a contiguous run of
+    (slice, key), so a partitioned write yields about one file per task, each
+    with a narrow key range.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
+    return df.repartitionByRange(n, *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
 
 
 def publish_jdbc(frames: Mapping[str, DataFrame | None], url: str, options: Mapping[str, str] | None = None,
