@@ -23,9 +23,9 @@ months AS (
 slice_counts AS (
   SELECT m.ym,
     CAST(count(r._valid) AS BIGINT) AS rows_read,
-    CAST(count_if(r._valid) AS BIGINT) AS rows_valid,
-    CAST(count_if(NOT r._valid) AS BIGINT) AS rows_quarantined,
-    CAST(count_if(r._valid AND r.passenger_count IS NULL) AS BIGINT) AS null_passenger_count
+    CAST(COALESCE(count_if(r._valid), 0) AS BIGINT) AS rows_valid,
+    CAST(COALESCE(count_if(NOT r._valid), 0) AS BIGINT) AS rows_quarantined,
+    CAST(COALESCE(count_if(r._valid AND r.passenger_count IS NULL), 0) AS BIGINT) AS null_passenger_count
   FROM months m LEFT JOIN raw_flagged r ON r.source_year_month = m.ym
   GROUP BY m.ym)"""
     silver = ("SELECT CAST(count(*) AS BIGINT) AS silver_rows, "

@@ -21,7 +21,6 @@ from strata.presets import DRIVER_PRESET
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CLEAN = ~F.col("is_suspicious")
 
 
 # -- B1 / B2 / B6: hard rules and quarantine ---------------------------------
@@ -123,9 +122,9 @@ def code_dictionary_lookup(spark, d):
 def avg_where_q(spark, d):
     return D.fact(spark, d).groupBy("pu_borough").agg(
         F.count("*").alias("trips"),
-        avg_where("total_amount", CLEAN).alias("avg_total_amount"),
+        avg_where("total_amount", marts.clean()).alias("avg_total_amount"),
         F.round(F.avg("total_amount"), 2).alias("avg_total_amount_all"),
-        avg_where("tip_pct", CLEAN).alias("avg_tip_pct"))
+        avg_where("tip_pct", marts.clean(), 2, marts.MEASURE_SCALE["tip_pct"]).alias("avg_tip_pct"))
 
 
 def safe_pct(spark, d):

@@ -84,9 +84,12 @@ def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
     slices = list(dict.fromkeys(slices))
     obs = observe or Observation(f"slices_{uuid.uuid4().hex[:8]}")
     metrics = [F.count_if(F.col(col) == F.lit(s)).alias(f"rows::{s}") for s in slices] + list(extra_metrics)
-    out = guard_slices(df, col, slices).observe(obs, *metrics)
+    out = guard_slices(df, col, slices)
     if rebalance:
         out = out.hint("rebalance", col)
+    # Observed right before the writer, above any exchange: when a stage's output is
+    # empty, AQE may replace the plan below the exchange and its metrics with it.
+    out = out.observe(obs, *metrics)
     writer = out.write.partitionBy(col).option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite" if table_exists(spark, path) else "errorifexists").parquet(path)
     got = obs.get
