@@ -116,8 +116,9 @@ KEY = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pu_location_id", "do
        "trip_distance", "fare_amount", "total_amount", "payment_type"]
 TRIP_ID = "sha256(concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in KEY) + "))"
 
-DERIVED = BRONZE + f""",
-derived1 AS (
+def derived_ctes(src: str, prefix: str = "") -> str:
+    return f"""
+{prefix}derived1 AS (
   SELECT * REPLACE (
       CASE WHEN passenger_count > 0 THEN passenger_count END AS passenger_count,
       COALESCE(cbd_congestion_fee, CAST(0.0 AS DOUBLE)) AS cbd_congestion_fee,
@@ -130,12 +131,15 @@ derived1 AS (
     {R("trip_distance * CAST(1.60934 AS DOUBLE)", 3)} AS trip_distance_km,
     CASE WHEN payment_type = {P.CARD_PAYMENT} AND fare_amount > 0
          THEN {R("tip_amount / fare_amount * 100", 2)} END AS tip_pct
-  FROM bronze),
-derived AS (
+  FROM {src}),
+{prefix}derived AS (
   SELECT *,
     CASE WHEN duration_min > 0 THEN {R("trip_distance / (duration_min / 60)", 2)} END AS avg_speed_mph,
     cbd_congestion_fee > 0 AS has_cbd_fee
-  FROM derived1)"""
+  FROM {prefix}derived1)"""
+
+
+DERIVED = BRONZE + "," + derived_ctes("bronze")
 
 ZONES = f"""
 zone_src AS (
@@ -175,22 +179,25 @@ codes AS (
     AND code_type IN ('vendor', 'ratecode', 'payment_type'))"""
 
 FL = DP.flags
-ENRICHED = DERIVED + "," + ZONES + "," + CODES + f""",
-enriched0 AS (
+
+
+def enriched_ctes(derived: str, p: str = "") -> str:
+    return f"""
+{p}enriched0 AS (
   SELECT d.*,
     pz.borough AS pu_borough, pz.zone AS pu_zone, pz.is_airport AS pu_is_airport, pz.is_unknown AS pu_is_unknown,
     dz.borough AS do_borough, dz.zone AS do_zone, dz.is_airport AS do_is_airport, dz.is_unknown AS do_is_unknown,
     COALESCE(cv.description, {sql_str(DP.unknown_label)}) AS vendor_name,
     COALESCE(cr.description, {sql_str(DP.unknown_label)}) AS ratecode_desc,
     COALESCE(cp.description, {sql_str(DP.unknown_label)}) AS payment_desc
-  FROM derived d
+  FROM {derived} d
   LEFT JOIN zones pz ON d.pu_location_id = pz.location_id
   LEFT JOIN zones dz ON d.do_location_id = dz.location_id
   LEFT JOIN (SELECT code, description FROM codes WHERE code_type = 'vendor') cv ON d.vendor_id = cv.code
   LEFT JOIN (SELECT code, description FROM codes WHERE code_type = 'ratecode') cr ON d.ratecode_id = cr.code
   LEFT JOIN (SELECT code, description FROM codes WHERE code_type = 'payment_type') cp
     ON d.payment_type = cp.code),
-enriched1 AS (
+{p}enriched1 AS (
   SELECT *,
     (COALESCE(pu_is_airport OR do_is_airport, FALSE) OR ratecode_id IN (2, 3) OR airport_fee > 0)
       AS is_airport_trip,
@@ -199,12 +206,15 @@ enriched1 AS (
     avg_speed_mph > {dbl(FL.high_speed_mph)} AS flag_high_speed,
     fare_amount > {dbl(FL.extreme_fare)} AS flag_extreme_fare,
     COALESCE(pu_is_unknown OR do_is_unknown, TRUE) AS flag_unknown_zone
-  FROM enriched0),
-enriched AS (
+  FROM {p}enriched0),
+{p}enriched AS (
   SELECT *, (COALESCE(flag_long_duration, FALSE) OR COALESCE(flag_zero_distance, FALSE)
              OR COALESCE(flag_high_speed, FALSE) OR COALESCE(flag_extreme_fare, FALSE)
              OR COALESCE(flag_unknown_zone, FALSE)) AS is_suspicious
-  FROM enriched1)"""
+  FROM {p}enriched1)"""
+
+
+ENRICHED = DERIVED + "," + ZONES + "," + CODES + "," + enriched_ctes("derived")
 
 FACT_COLUMNS = [
     "trip_id", "source_year_month", "vendor_id", "vendor_name",
@@ -217,12 +227,16 @@ FACT_COLUMNS = [
     "has_cbd_fee", "is_airport_trip", "flag_long_duration", "flag_zero_distance", "flag_high_speed",
     "flag_extreme_fare", "flag_unknown_zone", "is_suspicious",
 ]
-_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in FACT_COLUMNS if c != "trip_id")
-FACT = ENRICHED + f""",
-fact AS (
-  SELECT * EXCLUDE (_rn) FROM (
-    SELECT {", ".join(FACT_COLUMNS)}, row_number() OVER (PARTITION BY trip_id ORDER BY {_ORDER}) AS _rn
-    FROM enriched) WHERE _rn = 1)"""
+_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in RAW_COLS)
+# The fact de-duplicates bronze rows on trip_id first (survivor: smallest row in bronze column order).
+FACT = BRONZE + f""",
+bronze_keyed AS (SELECT *, {TRIP_ID} AS _tid FROM bronze),
+bronze_dedup AS (
+  SELECT * EXCLUDE (_rn, _tid) FROM (
+    SELECT *, row_number() OVER (PARTITION BY _tid ORDER BY {_ORDER}) AS _rn FROM bronze_keyed)
+  WHERE _rn = 1),""" + derived_ctes("bronze_dedup", "f_") + "," + ZONES + "," + CODES + "," + \
+    enriched_ctes("f_derived", "f_") + f""",
+fact AS (SELECT {", ".join(FACT_COLUMNS)} FROM f_enriched)"""
 
 WL = DP.weather
 WEATHER = f"""
