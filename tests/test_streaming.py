@@ -1,0 +1,30 @@
+import os
+
+from strata.params import JobParams
+from strata.streaming.landing import slice_from_name, watch_trip_files
+
+from test_pipeline import _month_file
+
+
+def test_slice_from_name():
+    assert slice_from_name("/x/yellow_tripdata_2025-01.parquet") == "2025-01"
+
+
+def test_landing_stream_ingests_each_file_once(spark, tmp):
+    land = f"{tmp}/landing"
+    os.makedirs(land)
+    _month_file(f"{land}/yellow_tripdata_2024-12.parquet", 2024, 12, 20, cbd=False)
+    params = JobParams(root=f"{tmp}/lake", months="2024-12", run_id="s")
+    ckpt = f"{tmp}/ckpt"
+    q = watch_trip_files(spark, land, params, checkpoint=ckpt)
+    q.awaitTermination(300)
+    bronze = spark.read.parquet(f"{tmp}/lake/bronze/yellow_trips")
+    assert bronze.count() == 19
+    _month_file(f"{land}/yellow_tripdata_2025-01.parquet", 2025, 1, 30)
+    q = watch_trip_files(spark, land, params, checkpoint=ckpt)
+    q.awaitTermination(300)
+    got = {r.source_year_month: r["count"] for r in
+           spark.read.parquet(f"{tmp}/lake/bronze/yellow_trips").groupBy("source_year_month").count().collect()}
+    assert got == {"2024-12": 19, "2025-01": 29}
+    log = spark.read.parquet(f"{tmp}/lake/audit/data_quality_log")
+    assert log.filter("entity = 'yellow_trips_2024-12' AND metric = 'rows_read'").count() == 1
