@@ -10,6 +10,7 @@ from strata.operators.rules import code_rules, trip_rules, zone_rules
 from strata.plans import mapping as M
 from strata.presets import DRIVER_PRESET
 from strata.session import scratch_path
+from strata.sinks import writers as W
 
 PRESET = DRIVER_PRESET
 
@@ -33,12 +34,24 @@ def codes_frame(spark: SparkSession, d: str) -> DataFrame:
     return dims.reference_dim(valid)
 
 
+_DICTIONARIES: dict[tuple, str] = {}
+
+
 def codes(spark: SparkSession, d: str) -> DataFrame:
-    """The code dictionary, materialised: it is derived from distinct values of the
-    two largest tables, so it is computed once and stored; the lookup joins then see
-    its real (tiny) size and Spark's size check broadcasts it."""
-    path = scratch_path(spark, "dim_reference")
-    codes_frame(spark, d).write.parquet(path)
+    """The code dictionary, materialised like the pipeline's ``dim_reference`` table.
+
+    It is derived from distinct values of the two largest tables, so it is
+    computed once per session and input version (keyed by the source files'
+    modification times) and stored; the lookups then see its real, tiny size and
+    Spark's size check broadcasts it.
+    """
+    key = (spark.sparkContext.applicationId, d.rstrip("/"),
+           *[W.modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")])
+    path = _DICTIONARIES.get(key)
+    if path is None or not W.table_exists(spark, path):
+        path = scratch_path(spark, "dim_reference")
+        codes_frame(spark, d).write.parquet(path)
+        _DICTIONARIES[key] = path
     return spark.read.parquet(path)
 
 

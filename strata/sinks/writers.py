@@ -50,6 +50,12 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def modification_time(spark: SparkSession, path: str) -> int:
+    """Modification time (ms) of a file or folder, through the Hadoop file system API."""
+    fs, p = _jfs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 

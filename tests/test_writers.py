@@ -47,3 +47,12 @@ def test_clustered_files_have_disjoint_key_ranges(spark, tmp):
 
 def test_publish_jdbc_skips_missing(spark):
     assert W.publish_jdbc({"trips_daily": None}, "jdbc:none") == {"trips_daily_exported": 0}
+
+
+def test_ensure_creates_typed_empty_tables_once(spark, tmp):
+    from strata.sinks import tables as T
+    made = T.ensure_all(spark, f"{tmp}/lake")
+    assert "bronze.yellow_trips" in made and "bronze.quarantine" in made
+    assert T.ensure_all(spark, f"{tmp}/lake") == []
+    t = T.read(spark, f"{tmp}/lake", "bronze", "yellow_trips")
+    assert t.count() == 0 and "source_year_month" in t.columns and "pickup_datetime" in t.columns
