@@ -127,5 +127,13 @@ def in_month(ts: ColumnOrName, ym: ColumnOrName) -> Column:
 
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Whole-second difference in minutes (B16 before rounding)."""
-    return (F.unix_timestamp(col_of(end)) - F.unix_timestamp(col_of(start))) / F.lit(60)
+    """Whole-second difference in minutes (B16 before rounding).
+
+    Each value is truncated to the second before subtracting, like a difference
+    of epoch seconds; on wall-clock (NTZ) values the difference does not depend on
+    the session time zone, so a trip across a daylight-saving change keeps its
+    wall-clock duration (S-21).
+    """
+    s = F.date_trunc("second", col_of(start))
+    e = F.date_trunc("second", col_of(end))
+    return F.timestamp_diff("SECOND", s, e) / F.lit(60)
