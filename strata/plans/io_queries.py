@@ -122,7 +122,7 @@ def upsert(spark: SparkSession, d: str) -> DataFrame:
 def clustered_layout(spark: SparkSession, d: str) -> DataFrame:
     """the fact written range-partitioned and sorted on the pickup zone, read back."""
     path = scratch_path(spark, "fact_clustered")
-    W.clustered(D.fact(spark, d), "pu_location_id").write.parquet(path)
+    W.clustered(D.fact(spark, d), "pu_location_id", tiebreak="trip_id").write.parquet(path)
     return spark.read.parquet(path)
 
 

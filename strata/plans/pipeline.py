@@ -167,7 +167,7 @@ def build_fact_stage(spark: SparkSession, params: JobParams, preset: Preset = P.
     codes = spark.read.parquet(_t(params, "silver", "dim_reference"))
     fact = facts.build_fact(bronze, zones, codes, preset)
     if cluster:
-        fact = W.clustered(fact, [SLICE, "pu_location_id"])
+        fact = W.clustered(fact, [SLICE, "pu_location_id"], tiebreak="trip_id")
     counters = [F.count_if(c).alias(c) for c in ("is_suspicious", "is_airport_trip", "has_cbd_fee",
                                                   *facts.FLAG_COLUMNS)]
     out_obs = Observation("fact_output")

@@ -129,16 +129,21 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None = None) -> DataFrame:
+def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None = None,
+              tiebreak: str | None = None) -> DataFrame:
     """Range-partition on ``keys`` and sort within files (F2).
 
     With the slice column first, each task covers a contiguous run of
     (slice, key), so a partitioned write yields about one file per task, each
-    with a narrow key range.
+    with a narrow key range. A range partitioner cannot split one key value, so
+    a hot value (one zone with a third of a month's trips) would land in a single
+    task; ``tiebreak`` (a high-cardinality column such as the row id) extends the
+    range key so such a value is cut across several tasks and files.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    range_keys = keys + ([tiebreak] if tiebreak else [])
+    return df.repartitionByRange(n, *[F.col(k) for k in range_keys]).sortWithinPartitions(*keys)
 
 
 def publish_jdbc(frames: Mapping[str, DataFrame | None], url: str, options: Mapping[str, str] | None = None,

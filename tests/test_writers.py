@@ -56,3 +56,12 @@ def test_ensure_creates_typed_empty_tables_once(spark, tmp):
     assert T.ensure_all(spark, f"{tmp}/lake") == []
     t = T.read(spark, f"{tmp}/lake", "bronze", "yellow_trips")
     assert t.count() == 0 and "source_year_month" in t.columns and "pickup_datetime" in t.columns
+
+
+def test_clustered_splits_a_hot_key(spark, tmp):
+    hot = spark.range(0, 3000).select(F.lit(7).alias("zone"), F.col("id").cast("string").alias("rid"))
+    rest = spark.range(0, 6000).select((F.col("id") % 50).cast("int").alias("zone"), F.col("id").cast("string").alias("rid"))
+    W.clustered(hot.unionByName(rest), "zone", 6, tiebreak="rid").write.parquet(f"{tmp}/h")
+    t = spark.read.parquet(f"{tmp}/h").withColumn("f", F.input_file_name())
+    files_with_hot = t.filter("zone = 7").select("f").distinct().count()
+    assert files_with_hot >= 2
