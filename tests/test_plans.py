@@ -43,3 +43,21 @@ def test_no_python_udf(spark, name):
 def test_column_pruning_on_lineitem(spark):
     p = D.bronze(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_partkey" not in p and "l_comment" not in p
+
+
+def test_ingest_rules_reach_the_scan(spark, tmp):
+    from strata.operators.rules import trip_rules
+    from strata.sources import readers as R
+    from strata.sources import schemas as S
+    from test_pipeline import _month_file
+    _month_file(f"{tmp}/m.parquet", 2025, 1, 10)
+    df = R.read_drifting(spark, {"2025-01": f"{tmp}/m.parquet"}, S.TRIP_DRIFT)
+    valid, _ = trip_rules(slice_value="2025-01").split(df)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        p = plan(valid)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = p[p.index("PushedFilters"):].split("]")[0]
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in pushed and "LessThan(tpep_pickup_datetime" in pushed
+    assert "GreaterThanOrEqual(trip_distance,0.0)" in pushed
