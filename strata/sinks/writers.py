@@ -106,10 +106,24 @@ def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
     return written
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Keyed upsert (K3): matched keys take the source row, new keys are inserted, nothing is deleted."""
+def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_col: str | None = None) -> None:
+    """Keyed upsert (K3): matched keys take the source row, new keys are inserted, nothing is deleted.
+
+    With ``partition_col`` (which the key must determine, e.g. a date's month) the
+    target is partitioned and only the partitions the source touches are read and
+    rewritten, through the staged dynamic overwrite of ``replace_slices``; the
+    rest of the table is not read at all. The touched values are a short list
+    (at most the number of partitions), fetched with one small distinct query.
+    """
     spark = df.sparkSession
     src = dedupe(df, keys)
+    if partition_col is not None:
+        touched = sorted(r[0] for r in src.select(partition_col).distinct().collect())
+        if table_exists(spark, path):
+            target = spark.read.parquet(path).filter(F.col(partition_col).isin(*touched))
+            src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src, allowMissingColumns=True)
+        replace_slices(src, path, partition_col, touched)
+        return
     if not table_exists(spark, path):
         src.write.mode("errorifexists").parquet(path)
         return

@@ -65,3 +65,16 @@ def test_clustered_splits_a_hot_key(spark, tmp):
     t = spark.read.parquet(f"{tmp}/h").withColumn("f", F.input_file_name())
     files_with_hot = t.filter("zone = 7").select("f").distinct().count()
     assert files_with_hot >= 2
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp):
+    import os
+    p = f"{tmp}/pu"
+    first = spark.createDataFrame([(1, "a", "2025-01"), (2, "b", "2025-02")], "k int, v string, m string")
+    W.upsert(first, p, ["k"], partition_col="m")
+    untouched = sorted(os.listdir(f"{p}/m=2025-02"))
+    W.upsert(spark.createDataFrame([(1, "A", "2025-01"), (3, "c", "2025-01")], "k int, v string, m string"),
+             p, ["k"], partition_col="m")
+    got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(p).collect())
+    assert got == [(1, "A", "2025-01"), (2, "b", "2025-02"), (3, "c", "2025-01")]
+    assert sorted(os.listdir(f"{p}/m=2025-02")) == untouched
