@@ -21,6 +21,7 @@ from strata.params import JobParams, slice_bounds
 from strata.presets import Preset
 from strata.session import table_path
 from strata.sinks import metrics as M
+from strata.sinks import tables as T
 from strata.sinks import writers as W
 from strata.sources import readers as R
 from strata.sources import schemas as S
@@ -214,8 +215,8 @@ def export_marts(spark: SparkSession, params: JobParams, url: str, options: Mapp
 
 def run(spark: SparkSession, params: JobParams, trip_paths: Mapping[str, str], zones_path: str,
         codes_path: str, weather_path: str, preset: Preset = P.TRIP_PRESET) -> dict[str, object]:
-    """Whole workflow in dependency order."""
-    out: dict[str, object] = {}
+    """Whole workflow in dependency order (J6); missing tables are created first."""
+    out: dict[str, object] = {"created": T.ensure_all(spark, params.root)}
     out["trips"] = ingest_trips(spark, params, trip_paths, preset)
     out["zones"] = ingest_zones(spark, params, zones_path, preset)
     out["codes"] = ingest_codes(spark, params, codes_path)

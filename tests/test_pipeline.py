@@ -82,3 +82,11 @@ def test_end_to_end_and_idempotent_rerun(spark, tmp):
     assert spark.read.parquet(f"{tmp}/lake/bronze/quarantine").count() == 3
     log = spark.read.parquet(f"{tmp}/lake/audit/data_quality_log")
     assert log.filter("run_id = 'r2'").count() == log.filter("run_id = 'r1'").count()
+
+
+def test_command_line(spark, tmp):
+    from strata.__main__ import main
+    trips, zones, codes, weather = _inputs(tmp)
+    out = main(["--root", f"{tmp}/lake2", "--months", "2024-12,2025-01", "--run-id", "cli",
+                "--trips", f"{tmp}/y_{{month}}.parquet", "--zones", zones, "--codes", codes, "--weather", weather])
+    assert out["fact"]["silver_rows"] == 88 and "bronze.quarantine" in out["created"]
