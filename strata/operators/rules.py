@@ -13,12 +13,22 @@ from strata.presets import Preset
 TRIP_REQUIRED = ("pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id")
 
 
-def trip_rules(preset: Preset = P.TRIP_PRESET, slice_value: str | Column | None = None) -> RuleSet:
+MEASURES = ("trip_distance", "fare_amount", "total_amount")
+
+
+def trip_rules(preset: Preset = P.TRIP_PRESET, slice_value: str | Column | None = None,
+               not_nan: bool = False) -> RuleSet:
     """B2. ``slice_value`` is the file's month as a literal (pushes down as a range)
-    or a column; by default the ``source_year_month`` column."""
+    or a column; by default the ``source_year_month`` column.
+
+    NaN sorts above every number in Spark, so it passes ``>= 0`` (S-2); ``not_nan``
+    adds explicit NaN rules for the three measures (off by default, as in the
+    original rule set).
+    """
     ym = F.col("source_year_month") if slice_value is None else slice_value
     lo, hi = preset.zone_min_id, preset.zone_max_id
-    return RuleSet(required=TRIP_REQUIRED, rules=(
+    nan_rules = tuple(Rule(f"{c}_not_nan", ~F.isnan(F.col(c))) for c in MEASURES) if not_nan else ()
+    return RuleSet(required=TRIP_REQUIRED, rules=nan_rules + (
         Rule("dropoff_after_pickup", F.col("dropoff_datetime") > F.col("pickup_datetime")),
         Rule("pickup_in_slice", in_month("pickup_datetime", ym)),
         Rule("distance_non_negative", F.col("trip_distance") >= 0),

@@ -140,12 +140,12 @@ def ingest_weather(spark: SparkSession, params: JobParams, path: str):
 def build_dims(spark: SparkSession, params: JobParams, preset: Preset = P.TRIP_PRESET) -> dict[str, int]:
     """dim_zone, dim_reference, dim_date (calendar over the contiguous slice range)."""
     now = F.current_timestamp()
-    zones = dims.zone_dim(spark.read.parquet(_t(params, "bronze", "taxi_zones")), preset).withColumn("updated_ts", now)
+    zones = dims.zone_dim(T.read(spark, params.root, "bronze", "taxi_zones"), preset).withColumn("updated_ts", now)
     W.upsert(zones, _t(params, "silver", "dim_zone"), ["location_id"])
-    refs = dims.reference_dim(spark.read.parquet(_t(params, "bronze", "ref_codes"))).withColumn("updated_ts", now)
+    refs = dims.reference_dim(T.read(spark, params.root, "bronze", "ref_codes")).withColumn("updated_ts", now)
     W.upsert(refs, _t(params, "silver", "dim_reference"), ["code_type", "code"])
     start, end = slice_bounds(params.slices)
-    weather = spark.read.parquet(_t(params, "bronze", "weather_daily"))
+    weather = T.read(spark, params.root, "bronze", "weather_daily")
     dd = dims.calendar_enriched(dims.calendar(spark, start, end), weather, preset.weather).withColumn("updated_ts", now)
     W.upsert(dd, _t(params, "silver", "dim_date"), ["date"])
     dz = spark.read.parquet(_t(params, "silver", "dim_zone"))
@@ -163,7 +163,7 @@ def build_fact_stage(spark: SparkSession, params: JobParams, preset: Preset = P.
                      cluster: bool = True) -> dict[str, int]:
     """Bronze slices -> silver fact, slice replace, clustered by pickup zone; metrics in the same pass."""
     slices = params.slices
-    bronze = spark.read.parquet(_t(params, "bronze", "yellow_trips")).filter(F.col(SLICE).isin(*slices))
+    bronze = T.read(spark, params.root, "bronze", "yellow_trips").filter(F.col(SLICE).isin(*slices))
     zones = spark.read.parquet(_t(params, "silver", "dim_zone"))
     codes = spark.read.parquet(_t(params, "silver", "dim_reference"))
     fact = facts.build_fact(bronze, zones, codes, preset)
@@ -187,8 +187,9 @@ def build_fact_stage(spark: SparkSession, params: JobParams, preset: Preset = P.
 
 def build_marts(spark: SparkSession, params: JobParams, preset: Preset = P.TRIP_PRESET) -> dict[str, int]:
     """G1-G7 over every loaded slice; stops on an empty fact instead of writing empty marts."""
-    fact = spark.read.parquet(_t(params, "silver", "fact_trips"))
-    if fact.limit(1).count() == 0:
+    path = _t(params, "silver", "fact_trips")
+    fact = spark.read.parquet(path) if W.table_exists(spark, path) else None
+    if fact is None or fact.limit(1).count() == 0:
         raise RuntimeError("silver fact_trips is empty: run the fact stage first")
     dim_date = spark.read.parquet(_t(params, "silver", "dim_date"))
     m = {}

@@ -54,3 +54,9 @@ def test_quarantine_keeps_original_bad_text(spark):
     df = spark.createDataFrame([("a,b", 1, "bad line")], "x string, y int, _corrupt_record string")
     q = quarantine_rows(df, "e", "r").first()
     assert q.raw_record == "bad line"
+
+
+def test_nan_passes_by_default_and_is_caught_when_asked(spark):
+    df = frame(spark, [trip(trip_distance=float("nan"))])
+    assert trip_rules().split(df)[0].count() == 1
+    assert trip_rules(not_nan=True).split(df)[0].count() == 0
