@@ -111,3 +111,13 @@ def test_clean_redelivery_clears_old_quarantine(spark, tmp):
     from strata.sinks import tables as T
     q = T.read(spark, f"{tmp}/lake3", "bronze", "quarantine")      # contract schema: the table may be empty
     assert q.filter("entity = 'yellow_trips_2025-01'").count() == 0
+
+
+def test_rows_valid_counted_before_key_dedupe(spark, tmp):
+    with open(f"{tmp}/codes.json", "w") as f:
+        f.write('{"code_type": "vendor", "code": 1, "description": "A"}\n'
+                '{"code_type": "vendor", "code": 1, "description": "A2"}\n')
+    params = JobParams(root=f"{tmp}/lake4", months="2025-01")
+    m = PL.ingest_codes(spark, params, f"{tmp}/codes.json")
+    assert m["rows_valid"] == 2                                      # S-17
+    assert spark.read.parquet(f"{tmp}/lake4/bronze/ref_codes").count() == 1

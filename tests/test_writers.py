@@ -78,3 +78,12 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp):
     got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(p).collect())
     assert got == [(1, "A", "2025-01"), (2, "b", "2025-02"), (3, "c", "2025-01")]
     assert sorted(os.listdir(f"{p}/m=2025-02")) == untouched
+
+
+def test_upsert_null_keys_never_match(spark, tmp):
+    p = f"{tmp}/n"
+    df = spark.createDataFrame([(None, "x"), (1, "y")], "k int, v string")
+    W.upsert(df, p, ["k"])
+    W.upsert(df, p, ["k"])
+    got = sorted((r.k is None, r.v) for r in spark.read.parquet(p).collect())
+    assert got == [(False, "y"), (True, "x"), (True, "x")]       # S-16: the NULL-key row is inserted again
