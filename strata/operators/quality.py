@@ -67,6 +67,12 @@ class RuleSet:
         invalid = df.filter(~self.verdict(df))
         return valid, invalid
 
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add ``_verdict`` (never NULL) and ``_reasons`` (only on rejected rows), so one
+        evaluation of the rules can feed both outputs (see ``split_tagged``)."""
+        verdict = self.verdict(df)
+        return df.withColumns({"_verdict": verdict, "_reasons": F.when(~verdict, self.reasons(df))})
+
     def violations(self, df: DataFrame) -> DataFrame:
         """One row per rule: how many rows break it; one aggregation job, long format."""
         rules = self.named_rules(df)
@@ -80,6 +86,13 @@ class RuleSet:
         return counts.select(stack).select("v.rule", "v.rows_failed")
 
 
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) of a ``RuleSet.tag`` frame; invalid keeps ``_reasons``."""
+    valid = tagged.filter(F.col("_verdict")).drop("_verdict", "_reasons", CORRUPT, CAST_FAILED)
+    invalid = tagged.filter(~F.col("_verdict")).drop("_verdict")
+    return valid, invalid
+
+
 @dataclass(frozen=True)
 class FlagSet:
     """Named soft flags; ``any`` is their NULL-safe OR."""

@@ -131,11 +131,8 @@ def load_metrics(spark: SparkSession, d: str) -> DataFrame:
     counts observed on their writes, appended to the quality log and read back."""
     slices = _month_list(spark, d)
     params = JobParams(root=scratch_path(spark, "lake"), months=",".join(slices), run_id="driver")
-    rules = trip_rules(DRIVER_PRESET)
-    raw = M.raw_trips(spark, d)
-    valid, invalid = rules.split(raw)
-    PL.write_trip_slices(spark, params, valid, invalid.withColumn("_reasons", rules.reasons(invalid)), slices,
-                         data_source="driver_tables")
+    tagged = trip_rules(DRIVER_PRESET).tag(M.raw_trips(spark, d))
+    PL.write_tagged_trips(spark, params, tagged, slices, data_source="driver_tables")
     W.upsert(D.zones(spark, d), PL._t(params, "silver", "dim_zone"), ["location_id"])
     W.upsert(D.codes(spark, d), PL._t(params, "silver", "dim_reference"), ["code_type", "code"])
     PL.build_fact_stage(spark, params, DRIVER_PRESET)

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators import dims, facts, marts
-from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, with_audit
+from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, split_tagged, with_audit
 from strata.operators.rules import code_rules, trip_rules, weather_rules, zone_rules
 from strata.params import JobParams, slice_bounds
 from strata.presets import Preset
@@ -45,19 +46,27 @@ def ingest_trips(spark: SparkSession, params: JobParams, paths: Mapping[str, str
     as a literal, so the valid branch pushes the time range into the scan.
     """
     slices = params.slices
-    valid_parts, invalid_parts = [], []
+    tagged = None
     for ym in slices:
         df = R.read_drifting(spark, {ym: paths[ym]}, S.TRIP_DRIFT, SLICE)
-        rules = trip_rules(preset, ym)
-        v, inv = rules.split(df)
-        valid_parts.append(v)
-        invalid_parts.append(inv.withColumn("_reasons", rules.reasons(inv)))
-    valid, invalid = valid_parts[0], invalid_parts[0]
-    for v in valid_parts[1:]:
-        valid = valid.unionByName(v)
-    for inv in invalid_parts[1:]:
-        invalid = invalid.unionByName(inv)
-    return write_trip_slices(spark, params, valid, invalid, slices, data_source)
+        t = trip_rules(preset, ym).tag(df)
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return write_tagged_trips(spark, params, tagged, slices, data_source)
+
+
+def write_tagged_trips(spark: SparkSession, params: JobParams, tagged: DataFrame, slices: list[str],
+                       data_source: str = "trip_parquet", entity_prefix: str = "yellow_trips_"):
+    """Both outputs from one evaluation of the source: the verdict-tagged rows are
+    persisted (memory, spilling to disk; recomputed from lineage if an executor is
+    lost), so the quarantine and the bronze write do not each re-read and
+    re-normalise the input. Nearly every row lands in one of the two outputs, so a
+    second filtered read would cost a full pass and save little."""
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        valid, invalid = split_tagged(tagged)
+        return write_trip_slices(spark, params, valid, invalid, slices, data_source, entity_prefix)
+    finally:
+        tagged.unpersist()
 
 
 def write_trip_slices(spark: SparkSession, params: JobParams, valid: DataFrame, invalid: DataFrame,
