@@ -45,16 +45,26 @@ def codes(spark: SparkSession, d: str) -> DataFrame:
     modification times) and stored; the lookups then see its real, tiny size and
     Spark's size check broadcasts it.
     """
-    key = (spark.sparkContext.applicationId, d.rstrip("/"),
-           *[W.modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")])
-    path = _DICTIONARIES.get(key)
+    key = _input_version(spark, d)
+    path = _DICTIONARIES.get(key) if key is not None else None
     if path is None or not W.table_exists(spark, path):
         path = scratch_path(spark, "dim_reference")
         codes_frame(spark, d).write.parquet(path)
-        _DICTIONARIES[key] = path
+        if key is not None:
+            _DICTIONARIES[key] = path
     return spark.read.parquet(path)
 
 
+def _input_version(spark: SparkSession, d: str) -> tuple | None:
+    """(application, folder, modification times of the dictionary's sources), or None
+    when they cannot be read, in which case the dictionary is simply rebuilt."""
+    try:
+        times = [W.modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")]
+        return (spark.sparkContext.applicationId, d.rstrip("/"), *times)
+    except Exception:  # noqa: BLE001 - no file-system access through the session: no reuse
+        return None
+
+
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     """Derived + looked-up + flagged trips, before de-duplication."""
     return facts.enrich(facts.derive(bronze(spark, d)), zones(spark, d), codes(spark, d), PRESET)
