@@ -6,6 +6,7 @@ shared location (``spark.checkpoint.dir``) and returns the read-back table.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, TimestampNTZType
@@ -98,11 +99,14 @@ def replace_slices(spark: SparkSession, d: str) -> DataFrame:
     fewer rows (vendor 9 withdrawn), one with no rows at all. The two re-run
     slices must equal the new input, the empty one must be gone, the rest untouched."""
     path = scratch_path(spark, "bronze_trips")
-    valid = D.bronze(spark, d)
-    W.replace_slices(valid, path, "source_year_month", _month_list(spark, d))
-    rerun = parse_slices(RUN_SLICES)
-    again = valid.filter(F.col("source_year_month").isin(*rerun[:2]) & (F.col("vendor_id") != 9))
-    W.replace_slices(again, path, "source_year_month", rerun)
+    valid = D.bronze(spark, d).persist(StorageLevel.MEMORY_AND_DISK)   # feeds both runs; dropped after
+    try:
+        W.replace_slices(valid, path, "source_year_month", _month_list(spark, d))
+        rerun = parse_slices(RUN_SLICES)
+        again = valid.filter(F.col("source_year_month").isin(*rerun[:2]) & (F.col("vendor_id") != 9))
+        W.replace_slices(again, path, "source_year_month", rerun)
+    finally:
+        valid.unpersist()
     t = spark.read.parquet(path)
     return t.select(*M.RAW_TRIP_COLUMNS)
 
