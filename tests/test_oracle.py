@@ -8,6 +8,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -42,6 +44,10 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s = canon(df.columns, [tuple(r) for r in df.collect()])
     res = con.execute(E.oracle_sql()[name])
+    duck_types = {x[0]: str(x[1]) for x in res.description}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     d = canon([x[0] for x in res.description], res.fetchall())
     assert s[0] == d[0]
     assert len(s[1]) == len(d[1])
