@@ -85,6 +85,8 @@ def slice_scan(spark: SparkSession, d: str) -> DataFrame:
 def _month_list(spark: SparkSession, d: str) -> list[str]:
     """Every month from the first order month to one past the last (line 7 is shifted a month)."""
     row = M.table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    if row.a is None:
+        return []
     y, m = row.a.year, row.a.month
     last = (row.b.year, row.b.month + 1) if row.b.month < 12 else (row.b.year + 1, 1)
     out = []
