@@ -1 +1 @@
-
+"""Column-expression builders over Spark built-ins."""

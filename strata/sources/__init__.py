@@ -1 +1 @@
-
+"""Readers for raw deliveries and their target schemas."""

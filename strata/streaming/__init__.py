@@ -1 +1 @@
-
+"""File-arrival stream driving the idempotent slice ingest."""
