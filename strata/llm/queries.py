@@ -5,18 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
+from strata.llm.decontaminate import contamination
 from strata.llm.ngram_join import ngram_components
+from strata.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def registry() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op7_ngram_join": op7_ngram_join,
+        "op10_decontaminate": op10_decontaminate,
     }
