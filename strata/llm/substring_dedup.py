@@ -205,6 +205,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFram
     weight = found.agg(F.sum(F.aggregate("ids", F.lit(0), lambda a, x: a + 2 + F.size(x["spans"])))).first()[0] or 0
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     joined = texts.join(F.broadcast(found) if weight <= 2 * BROADCAST_ROWS else found, "doc_id", "left")
+    joined = joined.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas has no null among integers
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -224,4 +225,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **options) -> DataFram
             got = pd.DataFrame(out, columns=["n_words", "n_removed", "kept"], index=pdf.index)
             yield pd.concat([pdf[["doc_id"]], got], axis=1)
 
-    return joined.mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept string")
+    done = joined.mapInPandas(cut, "doc_id string, n_words long, n_removed long, kept string")
+    return done.withColumn("doc_id", F.col("doc_id").cast("long"))
