@@ -13,14 +13,14 @@ a family of near copies costs its members times a block instead of all its pairs
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpointed, needed
+from strata.llm.common import broadcast_if_small, checkpointed, keep, needed
 
 BLOCK = 512
 
@@ -37,12 +37,38 @@ def _small_star(e: DataFrame) -> DataFrame:
     return rest.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 
+def spanning(edges: DataFrame) -> DataFrame:
+    """Fewer edges (columns ``a``, ``b``) with the same components: of each partition's edges a spanning forest."""
+    def forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = up
+            return x
+
+        for pdf in batches:
+            out = []
+            for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist(), strict=True):
+                x, y = root(a), root(b)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append((a, b))
+                elif a == b:
+                    out.append((a, b))
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return edges.select("a", "b").mapInPandas(forest, "a long, b long")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` (smallest node of it) for every node of ``edges`` (columns ``a``, ``b``, long).
 
     Alternates large-star and small-star (Kiveris et al.) until the edges are stars; each round is checkpointed
     to the shared folder. Loops and repeated edges are allowed; a node with loops only is its own component.
     """
+    edges = checkpointed(spanning(edges))
     nodes = edges.filter("a = b").select(F.col("a").alias("node"))
     e = checkpointed(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                      .distinct())
@@ -126,7 +152,8 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
     """
     sized = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = clusters.join(sized, "cluster").withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("long"))
-    full = checkpointed(items(members).withColumn("block", _ways("node", F.col("blocks"))))
+    members = broadcast_if_small(keep(members, "members"))
+    full = keep(items(members).withColumn("block", _ways("node", F.col("blocks"))), "items")
     hub = F.col("block") == 0
     tasks = full.withColumn("task", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks") - 1))
                                               .otherwise(F.array("block"))))
