@@ -42,6 +42,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send Python workers at most ``rows`` texts at a time (Spark's default of 10 000 is kept if set otherwise)."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a side counted to be within ``limit`` rows; beyond it Spark shuffles the join.
 

@@ -11,6 +11,7 @@ from strata.llm.common import read_table
 from strata.llm.decontaminate import contamination
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.ngram_join import ngram_components
+from strata.llm.sentencepiece import encode
 from strata.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(read_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").alias("n_chars"))
@@ -39,6 +44,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
         "op7_ngram_join": op7_ngram_join,
         "op10_decontaminate": op10_decontaminate,

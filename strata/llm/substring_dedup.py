@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import (
-    BROADCAST_ROWS, as_long, broadcast_if_small, checkpointed, grams, keep, mix, text_bytes, word_hashes)
+    BROADCAST_ROWS, as_long, bounded_batches, broadcast_if_small, checkpointed, grams, keep, mix, text_bytes, word_hashes)
 
 WINDOW, GRAM = 50, 20
 #: Segments (some 65 words each) of one group, and segments beyond which an anchor is split.
-GROUP, HOT = 20_000, 5_000
+GROUP, HOT = 4_000, 2_000
 
 
 def digest(data: bytes) -> bytes:
@@ -106,6 +106,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
                    hot: int = HOT) -> DataFrame:
     """``doc_id``, ``ids``: for each distinct word sequence of that ``doc_id`` with repeats its digest ``id`` and
     sorted ``spans`` [first word, end) that are repeats of smaller documents."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
