@@ -11,6 +11,7 @@ from strata.llm.common import read_table
 from strata.llm.decontaminate import contamination
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.ngram_join import ngram_components
+from strata.llm.quality import score_quality
 from strata.llm.sentencepiece import encode
 from strata.llm.substring_dedup import remove_repeats
 
@@ -35,6 +36,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -47,5 +52,6 @@ def registry() -> dict[str, Query]:
         "op4_sentencepiece": op4_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
         "op7_ngram_join": op7_ngram_join,
+        "op8_quality": op8_quality,
         "op10_decontaminate": op10_decontaminate,
     }
