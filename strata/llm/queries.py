@@ -14,6 +14,7 @@ from strata.llm.ngram_join import ngram_components
 from strata.llm.quality import score_quality
 from strata.llm.sentencepiece import encode
 from strata.llm.substring_dedup import remove_repeats
+from strata.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op3_toxicity": op3_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
         "op7_ngram_join": op7_ngram_join,
