@@ -1,7 +1,8 @@
 """Toxicity by weak supervision (op 3).
 
-1. Words that mark toxic documents are mined from the labelled training rows (at most ``LABELLED`` of them, those
-   of the least id hashes; the bound is the parameter ``limit``) and join a general English list.
+1. Words and word beginnings (inflected forms share them) that mark toxic documents are mined from the labelled
+   training rows (at most ``LABELLED`` of them, those of the least id hashes; the bound is the parameter
+   ``limit``) and join a general English list.
 2. Voters: lexicon groups, counts of distinct list words, and patterns (insults addressed at someone, masked words,
    shouting, long exclamation runs) vote 1; texts without any sign vote 0; otherwise a voter abstains.
 3. The generative label model is fitted on all documents: Spark counts vote patterns (a table bounded by the voters'
@@ -39,7 +40,9 @@ LEXICONS = {
     "qualities": ("pathetic", "worthless", "disgusting", "stupid", "dumb", "idiotic", "ugly", "vile", "useless",
                   "moronic", "brainless", "repulsive", "despicable", "fucking", "damned", "nasty"),
 }
-MINED_WORDS, MINED_GROUPS, LEAST = 96, 3, 5
+MINED_WORDS, MINED_GROUPS, LEAST = 192, 3, 4
+#: Lengths of word beginnings; an entry of a list that ends in * is one.
+STEMS = (3, 5, 7)
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"\b[a-z][*@#$%]{2,}[a-z]*\b")
 _ADDRESSED = re.compile(r"\b(?:you|your|you're|he|she|they|such|a|an|these|those)\s+(?:are\s+|a\s+|an\s+)*$")
@@ -50,6 +53,14 @@ def word_set(text) -> set[str]:
     return set(_WORD.findall(text.lower())) if isinstance(text, str) else set()
 
 
+def signs(words: set[str]) -> set[str]:
+    """The words, and their beginnings with a * after them."""
+    out = set(words)
+    for k in STEMS:
+        out |= {w[:k] + "*" for w in words if len(w) > k}
+    return out
+
+
 class Voters:
     """Votes of all voters on one text: 1 toxic, 0 clean, -1 abstains."""
 
@@ -57,18 +68,22 @@ class Voters:
         self.mined = mined
         self.groups = [set(v) for v in LEXICONS.values()] + [set(mined[k::MINED_GROUPS]) for k in range(MINED_GROUPS)]
         self.every = set().union(*self.groups)
+        self.stems = [(k, {x[:-1] for x in self.every if len(x) == k + 1 and x[-1] == "*"}) for k in STEMS]
         self.names = [*LEXICONS, *(f"mined_{k}" for k in range(MINED_GROUPS)),
                       "two_words", "four_words", "addressed", "masked", "shouting", "exclaims", "no_sign"]
 
     def __call__(self, text) -> tuple[list[int], set[str]]:
         words = word_set(text)
         hits = words & self.every
+        for k, stems in self.stems:
+            if stems:
+                hits |= {x + "*" for x in {w[:k] for w in words if len(w) > k} & stems}
         raw = text if isinstance(text, str) else ""
         votes = [1 if hits & g else -1 for g in self.groups]
         votes += [1 if len(hits) >= 2 else -1, 1 if len(hits) >= 4 else -1]
         addressed = False
         for w in hits:
-            at = raw.lower().find(w)
+            at = raw.lower().find(w.rstrip("*"))
             addressed = addressed or bool(_ADDRESSED.search(raw[max(0, at - 24):at].lower()))
         letters = sum(map(str.isalpha, raw[:2000]))  # of the opening; a pattern voter, not the score
         upper = sum(map(str.isupper, raw[:2000]))
@@ -88,25 +103,44 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
 
 
 def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[str]:
-    """Words with the largest smoothed log odds of toxic against clean documents, of those that stand out."""
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            seen: dict[str, list[int]] = {}
-            for text, y in zip(pdf["text"], pdf["y"], strict=True):
-                for w in word_set(text):
-                    seen.setdefault(w, [0, 0])[y] += 1
-            yield pd.DataFrame([(w, a, b) for w, (a, b) in seen.items()], columns=["word", "clean", "toxic"])
-
-    counts = rows.select("text", "y").mapInPandas(words, "word string, clean long, toxic long").groupBy("word").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    """Words and beginnings with the largest log-likelihood ratio among those mostly in toxic documents."""
+    def counted(wanted):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            seen: dict[str, int] = {}
+            for pdf in batches:
+                for text in pdf["text"]:
+                    found = signs(word_set(text))
+                    for w in found if wanted is None else found & wanted.value:
+                        seen[w] = seen.get(w, 0) + 1
+            yield pd.DataFrame(list(seen.items()), columns=["word", "n"])
+        return run
+
+    def counts(y: int, wanted) -> DataFrame:
+        part = rows.filter(F.col("y") == y).select("text").mapInPandas(counted(wanted), "word string, n long")
+        return part.groupBy("word").agg(F.sum("n").alias("n"))
+
     total = rows.agg(F.sum(1 - F.col("y")), F.sum("y")).first()
     if not total[0] or not total[1]:
         return []
-    odds = F.log((F.col("toxic") + 0.5) / F.lit(total[1] + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(total[0] + 1.0))
-    spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    best = (counts.filter(F.col("toxic") >= LEAST).select("word", odds.alias("odds"), (odds / spread).alias("z"))
-            .filter("z > 4 and odds > 1.5").orderBy(F.desc("z"), "word").limit(count).collect())
-    return [r.word for r in best]
+    toxic = {r.word: r.n for r in counts(1, None).filter(F.col("n") >= LEAST).collect()}
+    clean = {r.word: r.n for r in counts(0, rows.sparkSession.sparkContext.broadcast(set(toxic))).collect()}
+
+    def ratio(word: str) -> float:
+        a, b = toxic[word], clean.get(word, 0)
+        share = (a + b) / (total[0] + total[1])
+        return a * np.log(a / (total[1] * share)) + (b * np.log(b / (total[0] * share)) if b else 0.0)
+
+    mostly = [w for w, a in toxic.items() if a * total[0] > 20 * clean.get(w, 0) * total[1] and a > clean.get(w, 0)]
+    gain = {w: ratio(w) for w in mostly}
+    chosen: list[str] = []
+    for w in sorted(mostly, key=lambda w: (-gain[w], -len(w), w)):
+        own = w.rstrip("*")
+        covered = any(c[-1] == "*" and own.startswith(c[:-1]) for c in chosen)
+        if not covered and not (w[-1] == "*" and any(c.startswith(own) and gain[c] >= gain[w] for c in chosen)):
+            chosen.append(w)
+            if len(chosen) == count:
+                break
+    return chosen
 
 
 def label_model(votes: np.ndarray, count: np.ndarray, known: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -157,7 +191,7 @@ def label_model(votes: np.ndarray, count: np.ndarray, known: np.ndarray, rounds:
     return post
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.2, rounds: int = 25) -> np.ndarray:
     """Weights (constant last) of ridge logistic regression on labels between 0 and 1, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
