@@ -86,18 +86,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return found.unionByName(roots).unionByName(loops.select("node", F.col("node").alias("component")))
 
 
-def links_in_task(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+def links_in_task(pdf: pd.DataFrame, percent: int, unpacked: Callable) -> pd.DataFrame:
     """Links of one task that join components: side 0 against itself and against side 1.
 
-    A row has ``node``, ``side``, ``tokens`` (distinct longs), ``prefix`` (some of its tokens) and ``need``. Two
-    similar sets share at least the smaller of their ``need`` values among their prefixes; only such pairs, of
+    A row has ``node``, ``side``, ``item`` (bytes) and ``need``; ``unpacked(item, need)`` gives the distinct hashes
+    of the set and of its prefix. Two similar sets share at least the smaller of their ``need`` values among their prefixes; only such pairs, of
     sizes that allow the similarity, are compared exactly (100 * shared >= percent * union). Pairs that links
     found before already join are passed over.
     """
     pdf = pdf.sort_values(["side", "node"], kind="stable").drop_duplicates("node")
     node, side, need = pdf["node"].to_numpy(), pdf["side"].to_numpy(), pdf["need"].to_numpy()
-    sets = [np.asarray(t) for t in pdf["tokens"]]
-    prefixes = [np.asarray(t) for t in pdf["prefix"]]
+    sets, prefixes = zip(*(unpacked(t, n) for t, n in zip(pdf["item"], need, strict=True)), strict=True)
     size = np.array([len(t) for t in sets])
     owner = np.repeat(np.arange(len(pdf)), [len(p) for p in prefixes])
     values, where = np.unique(np.concatenate(prefixes), return_inverse=True)
@@ -135,8 +134,8 @@ def links_in_task(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _link(tasks: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    return tasks.groupBy(*keys).applyInPandas(lambda pdf: links_in_task(pdf, percent), "a long, b long")
+def _link(tasks: DataFrame, keys: list[str], percent: int, unpacked: Callable) -> DataFrame:
+    return tasks.groupBy(*keys).applyInPandas(lambda pdf: links_in_task(pdf, percent, unpacked), "a long, b long")
 
 
 def _ways(column: str, n) -> F.Column:
@@ -144,11 +143,11 @@ def _ways(column: str, n) -> F.Column:
 
 
 def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFrame], percent: int,
-                        block: int = BLOCK) -> DataFrame:
+                        unpacked: Callable, block: int = BLOCK) -> DataFrame:
     """``node``, ``component`` for the members of ``clusters`` (``node``, ``cluster``) that have verified links.
 
-    ``items`` gets members (with further columns of ``clusters``) and returns them with ``tokens``, ``prefix``
-    and ``need``. Nodes without links don't appear.
+    ``items`` gets members (with further columns of ``clusters``) and returns them with ``item`` and ``need``, as
+    ``links_in_task`` takes them. Nodes without links don't appear.
     """
     sized = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = clusters.join(sized, "cluster").withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("long"))
@@ -158,8 +157,8 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
     tasks = full.withColumn("task", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks") - 1))
                                               .otherwise(F.array("block"))))
     tasks = tasks.withColumn("side", F.when(hub, 0).otherwise(1))
-    links = checkpointed(_link(tasks.select("cluster", "task", "side", "node", "tokens", "prefix", "need"),
-                               ["cluster", "task"], percent))
+    links = checkpointed(_link(tasks.select("cluster", "task", "side", "node", "item", "need"),
+                               ["cluster", "task"], percent, unpacked))
     cut = full.filter("blocks > 1")
     if cut.isEmpty():
         return connected_components(links)
@@ -175,8 +174,8 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
             .withColumn("task", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
     right = (cut.join(count, "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("task", F.col("block")).withColumn("side", F.lit(1)))
-    columns = ["cluster", "part", "task", "side", "node", "tokens", "prefix", "need"]
-    more = _link(left.select(*columns).unionByName(right.select(*columns)), ["cluster", "part", "task"], percent)
+    columns = ["cluster", "part", "task", "side", "node", "item", "need"]
+    more = _link(left.select(*columns).unionByName(right.select(*columns)), ["cluster", "part", "task"], percent, unpacked)
     return connected_components(links.unionByName(checkpointed(more)))
 
 

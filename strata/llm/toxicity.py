@@ -41,6 +41,8 @@ LEXICONS = {
                   "moronic", "brainless", "repulsive", "despicable", "fucking", "damned", "nasty"),
 }
 MINED_WORDS, MINED_GROUPS, LEAST = 192, 3, 4
+#: Least log-likelihood ratio of a mined entry: chance reaches it once in about ten million candidates.
+RATIO = 15.0
 #: Lengths of word beginnings; an entry of a list that ends in * is one.
 STEMS = (3, 5, 7)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,9 +66,8 @@ def signs(words: set[str]) -> set[str]:
 class Voters:
     """Votes of all voters on one text: 1 toxic, 0 clean, -1 abstains."""
 
-    def __init__(self, mined: list[str]):
-        self.mined = mined
-        self.groups = [set(v) for v in LEXICONS.values()] + [set(mined[k::MINED_GROUPS]) for k in range(MINED_GROUPS)]
+    def __init__(self, mined: list[list[str]]):
+        self.groups = [*map(set, LEXICONS.values()), *map(set, mined)]
         self.every = set().union(*self.groups)
         self.stems = [(k, {x[:-1] for x in self.every if len(x) == k + 1 and x[-1] == "*"}) for k in STEMS]
         self.names = [*LEXICONS, *(f"mined_{k}" for k in range(MINED_GROUPS)),
@@ -99,11 +100,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
          .filter("doc_id is not null and y is not null").filter(fold(F.col("doc_id"), folds) != held)
          .groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
     few = checkpointed(y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
+    return rows.dropDuplicates(["text", "y"])  # copies are no further evidence
 
 
-def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[str]:
-    """Words and beginnings with the largest log-likelihood ratio among those mostly in toxic documents."""
+def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[list[str]]:
+    """Words and beginnings with the largest log-likelihood ratio among those mostly in toxic documents: those met
+    often and never in clean ones, seldom in clean ones, and the rest."""
     def counted(wanted):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen: dict[str, int] = {}
@@ -121,7 +124,7 @@ def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[str]:
 
     total = rows.agg(F.sum(1 - F.col("y")), F.sum("y")).first()
     if not total[0] or not total[1]:
-        return []
+        return [[] for _ in range(MINED_GROUPS)]
     toxic = {r.word: r.n for r in counts(1, None).filter(F.col("n") >= LEAST).collect()}
     clean = {r.word: r.n for r in counts(0, rows.sparkSession.sparkContext.broadcast(set(toxic))).collect()}
 
@@ -131,16 +134,17 @@ def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[str]:
         return a * np.log(a / (total[1] * share)) + (b * np.log(b / (total[0] * share)) if b else 0.0)
 
     mostly = [w for w, a in toxic.items() if a * total[0] > 20 * clean.get(w, 0) * total[1] and a > clean.get(w, 0)]
-    gain = {w: ratio(w) for w in mostly}
+    gain = {w: r for w in mostly if (r := ratio(w)) >= RATIO}
     chosen: list[str] = []
-    for w in sorted(mostly, key=lambda w: (-gain[w], -len(w), w)):
+    for w in sorted(gain, key=lambda w: (-gain[w], -len(w), w)):
         own = w.rstrip("*")
         covered = any(c[-1] == "*" and own.startswith(c[:-1]) for c in chosen)
         if not covered and not (w[-1] == "*" and any(c.startswith(own) and gain[c] >= gain[w] for c in chosen)):
             chosen.append(w)
             if len(chosen) == count:
                 break
-    return chosen
+    rank = lambda w: 2 if toxic[w] < 20 * clean.get(w, 0) else int(toxic[w] < 10 or w in clean)
+    return [[w for w in chosen if rank(w) == k] for k in range(MINED_GROUPS)]
 
 
 def label_model(votes: np.ndarray, count: np.ndarray, known: np.ndarray, rounds: int = 60) -> np.ndarray:
