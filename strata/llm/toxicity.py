@@ -40,7 +40,7 @@ LEXICONS = {
     "qualities": ("pathetic", "worthless", "disgusting", "stupid", "dumb", "idiotic", "ugly", "vile", "useless",
                   "moronic", "brainless", "repulsive", "despicable", "fucking", "damned", "nasty"),
 }
-MINED_WORDS, MINED_GROUPS, LEAST = 192, 3, 4
+MINED_WORDS, MINED_GROUPS, LEAST = 192, 2, 4
 #: Least log-likelihood ratio of a mined entry: chance reaches it once in about ten million candidates.
 RATIO = 15.0
 #: Lengths of word beginnings; an entry of a list that ends in * is one.
@@ -106,7 +106,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
 
 def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[list[str]]:
     """Words and beginnings with the largest log-likelihood ratio among those mostly in toxic documents: those met
-    often and never in clean ones, seldom in clean ones, and the rest."""
+    often and never in clean ones, and the others."""
     def counted(wanted):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen: dict[str, int] = {}
@@ -133,7 +133,7 @@ def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[list[str]]:
         share = (a + b) / (total[0] + total[1])
         return a * np.log(a / (total[1] * share)) + (b * np.log(b / (total[0] * share)) if b else 0.0)
 
-    mostly = [w for w, a in toxic.items() if a * total[0] > 20 * clean.get(w, 0) * total[1] and a > clean.get(w, 0)]
+    mostly = [w for w, a in toxic.items() if a > 10 * clean.get(w, 0)]
     gain = {w: r for w in mostly if (r := ratio(w)) >= RATIO}
     chosen: list[str] = []
     for w in sorted(gain, key=lambda w: (-gain[w], -len(w), w)):
@@ -143,7 +143,7 @@ def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[list[str]]:
             chosen.append(w)
             if len(chosen) == count:
                 break
-    rank = lambda w: 2 if toxic[w] < 20 * clean.get(w, 0) else int(toxic[w] < 10 or w in clean)
+    rank = lambda w: int(toxic[w] < 10 or w in clean)
     return [[w for w in chosen if rank(w) == k] for k in range(MINED_GROUPS)]
 
 
