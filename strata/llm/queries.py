@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
 from strata.llm.decontaminate import contamination
+from strata.llm.html_text import extract
 from strata.llm.line_dedup import dedup_lines
+from strata.llm.multi_index import nearest
 from strata.llm.ngram_join import ngram_components
 from strata.llm.quality import score_quality
 from strata.llm.sentencepiece import encode
@@ -24,6 +26,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -45,6 +51,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -54,10 +64,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_multi_index": op2_multi_index,
         "op3_toxicity": op3_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
         "op7_ngram_join": op7_ngram_join,
         "op8_quality": op8_quality,
+        "op9_html_text": op9_html_text,
         "op10_decontaminate": op10_decontaminate,
     }
