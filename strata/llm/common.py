@@ -170,7 +170,7 @@ def merged_sum(parts: DataFrame, dtype: str, fan_in: int = 16) -> dict[int, np.n
         parts = keep(parts.groupBy("slot", F.expr(f"part div {fan_in}").alias("g")).applyInPandas(add, schema), "parts")
         top //= fan_in
     parts = parts.groupBy("slot").applyInPandas(add, schema)
-    return {r.slot: unpack(r.blob, dtype) for r in parts.collect()}
+    return {r.slot: unpack(r.blob, dtype).copy() for r in parts.collect()}
 
 
 def text_bytes(text) -> bytes:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
+from strata.llm.context_mixing import score_texts
 from strata.llm.decontaminate import contamination
 from strata.llm.html_text import extract
 from strata.llm.line_dedup import dedup_lines
@@ -43,6 +44,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").alias("n_chars"))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -68,6 +73,7 @@ def registry() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
+        "op6_context_mixing": op6_context_mixing,
         "op7_ngram_join": op7_ngram_join,
         "op8_quality": op8_quality,
         "op9_html_text": op9_html_text,

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -84,7 +85,7 @@ def _runs(starts: np.ndarray, window: int) -> list[list[int]]:
 def tree_repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     """Starts of repeated windows by document, from one group's suffix tree.
 
-    A row is a segment: ``doc_id``, ``id``, ``at`` (its first word) and ``words`` (hashes).
+    A row is a segment: ``doc_id``, ``id``, ``at`` (places of its first word) and ``words`` (hashes).
     """
     sizes = np.array([len(w) for w in pdf["words"]])
     words = np.concatenate([np.asarray(w) for w in pdf["words"]])
@@ -97,9 +98,12 @@ def tree_repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     least = np.full(node.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, node[suffix], own)
     again = suffix[least[node[suffix]] < own]
-    place = again - (np.cumsum(sizes) - sizes)[segment[again]] + pdf["at"].to_numpy()[segment[again]]
-    got = pd.DataFrame({"seg": segment[again], "start": place}).groupby("seg")["start"].agg(list)
-    return pd.DataFrame({"doc_id": docs[got.index], "id": pdf["id"].to_numpy()[got.index], "starts": got.to_numpy()})
+    inside = again - (np.cumsum(sizes) - sizes)[segment[again]]
+    cut = np.flatnonzero(np.diff(segment[again], prepend=-1))
+    owner = segment[again][cut]
+    at = pdf["at"].to_numpy()
+    starts = [np.unique(np.add.outer(np.asarray(at[s]), x)) for s, x in zip(owner, np.split(inside, cut[1:]), strict=True)] if len(cut) else []
+    return pd.DataFrame({"doc_id": docs[owner], "id": pdf["id"].to_numpy()[owner], "starts": starts})
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP,
@@ -168,8 +172,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
         yield pd.DataFrame(out, columns=columns)
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((v % buckets, doc, own, a, as_long(h[a:b + window])) for doc, own, h, v, a, b in parts(batches, False))
-        yield from batched(rows, ["bucket", "doc_id", "id", "at", "words"])
+        def rows():
+            # equal segments of one document (a text that repeats itself has many) go once, with all their places
+            for (doc, own), found in groupby(parts(batches, False), key=lambda x: x[:2]):
+                places: dict[tuple[int, bytes], list[int]] = {}
+                for _, _, h, v, a, b in found:
+                    places.setdefault((int(v), h[a:b + window].tobytes()), []).append(a)
+                for (v, words), at in places.items():
+                    yield v % buckets, doc, own, at, np.frombuffer(words, dtype=np.int64)
+        yield from batched(rows(), ["bucket", "doc_id", "id", "at", "words"])
 
     def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
@@ -181,7 +192,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
         yield from batched(rows(), ["doc_id", "id", "start", "one", "two"], 50_000)
 
     schema = "doc_id long, id binary, starts array<long>"
-    found = (chosen.mapInPandas(segments, "bucket long, doc_id long, id binary, at long, words array<long>")
+    found = (chosen.mapInPandas(segments, "bucket long, doc_id long, id binary, at array<long>, words array<long>")
              .groupBy("bucket").applyInPandas(lambda pdf: tree_repeats(pdf, window), schema))
     if not shared.filter("hot").isEmpty():
         deep = keep(chosen.mapInPandas(nodes, "doc_id long, id binary, start long, one long, two long"), "nodes")
