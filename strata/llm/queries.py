@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strata.llm.common import read_table
 from strata.llm.context_mixing import score_texts
 from strata.llm.decontaminate import contamination
@@ -78,4 +79,64 @@ def registry() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_html_text": op9_html_text,
         "op10_decontaminate": op10_decontaminate,
+        "pipeline": corpus_pipeline.run,
     }
+
+
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
+
+#: Windows by their word sequence, with the smallest document that one starts in.
+_OP1 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50),
+x AS (SELECT doc_id, s, array_to_string(w[s:s + 49], ' ') AS k FROM p),
+f AS (SELECT k, min(doc_id) AS least FROM x GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM x JOIN f USING (k) WHERE least < doc_id),
+gone AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id),
+j AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+  sha256(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(gone, i)], ' ')) AS kept_sha256
+FROM j
+"""
+
+#: Links over all shared shingles, then the smallest document reachable.
+_OP7 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.x = d.doc_id
+"""
+
+_OP10_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+               "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+_OP10 = f"""
+WITH b AS (SELECT item_id, {_OP10_WORDS} AS w FROM benchmark),
+v AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
+      FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS k FROM v),
+d AS (SELECT doc_id, {_OP10_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM win),
+p AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+x AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS k FROM p),
+m AS (SELECT x.doc_id, x.n, x.s, win.item_id FROM x JOIN win ON x.n = win.n AND x.k = win.k),
+h AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS i FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM m GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL where it can express a query and run it over whole tables."""
+    return {"op1_substring_dedup": _OP1, "op7_ngram_join": _OP7, "op10_decontaminate": _OP10}
