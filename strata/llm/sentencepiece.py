@@ -36,7 +36,7 @@ MARK = "▁"
 #: What a character without a piece costs below the least score.
 UNKNOWN_PENALTY = 10.0
 #: Chunks held in a task's cache, and bytes of new chunks encoded at a time.
-CACHE, AT_ONCE = 500_000, 4 << 20
+CACHE, AT_ONCE = 200_000, 1 << 20
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
