@@ -136,7 +136,7 @@ def nearest(table: DataFrame, is_query, top: int = 20, probe: float = PROBE, k:
     count = np.zeros(k1 * k2, dtype=np.int64)
     for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # at most k * k rows
         count[r.cell] = r.n
-    goal = probe * n
+    goal = max(probe * n, min(n, 20 * (top + 1)))  # small tables are searched whole
 
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one, two = books.value
