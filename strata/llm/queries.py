@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +68,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def _importable(query: Query) -> Query:
+    """Python workers on this machine find the package where the driver found it, whatever their folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(corpus_pipeline.__file__).resolve().parent))
+        return query(spark, sf_dir)
+    return run
+
+
 def registry() -> dict[str, Query]:
-    return {
+    return {name: _importable(query) for name, query in {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_multi_index": op2_multi_index,
         "op3_toxicity": op3_toxicity,
@@ -80,7 +89,7 @@ def registry() -> dict[str, Query]:
         "op9_html_text": op9_html_text,
         "op10_decontaminate": op10_decontaminate,
         "pipeline": corpus_pipeline.run,
-    }
+    }.items()}
 
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import context_mixing, html_text, multi_index, quality, toxicity
-from tests.llm.conftest import prose, rows_of
+from llm_rows import prose, rows_of
 
 
 @pytest.fixture(scope="module")

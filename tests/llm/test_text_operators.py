@@ -10,7 +10,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, line_dedup, ngram_join, sentencepiece, substring_dedup
-from tests.llm.conftest import rows_of
+from llm_rows import rows_of
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
@@ -167,7 +167,7 @@ def test_contamination(spark, docs, docs_rows, tmp_path):
         "x " * 30 + BENCH[0][1] + " y" * 30, BENCH[0][1].upper(), "a Short, ITEM; here", "short thing item",
         "alpha " * 15, "alpha " * 12, "unnamed words here", "beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"))]
     rows = docs_rows + extra
-    from tests.llm.conftest import DOC
+    from llm_rows import DOC
     spark.createDataFrame(rows, DOC).write.parquet(str(tmp_path / "d"))
     stored = spark.read.parquet(str(tmp_path / "d"))
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
