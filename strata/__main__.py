@@ -27,13 +27,16 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--weather", required=True)
     ap.add_argument("--source-format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--top-k", type=int, default=20)
+    ap.add_argument("--export-url", default=None, help="JDBC address; the marts are published there")
+    ap.add_argument("--export-option", action="append", default=[], metavar="KEY=VALUE")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
-    params = JobParams(root=a.root, months=a.months, run_id=a.run_id, source_format=a.source_format, top_k=a.top_k)
-    preset = P.Preset(name="trips", top_k=a.top_k)
+    params = JobParams(root=a.root, months=a.months, run_id=a.run_id, source_format=a.source_format, top_k=a.top_k,
+                       export_enabled=a.export_url is not None)
     spark = build_session(a.master)
     trips = {m: a.trips.format(month=m) for m in params.slices}
-    out = pipeline.run(spark, params, trips, a.zones, a.codes, a.weather, preset)
+    out = pipeline.run(spark, params, trips, a.zones, a.codes, a.weather, export_url=a.export_url,
+                       export_options=dict(x.split("=", 1) for x in a.export_option))
     print(json.dumps(out, default=str))
     return out
 

@@ -60,15 +60,25 @@ def pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
 def mean(c: ColumnOrName, scale: int | None = None) -> Column:
     """Average; exact for a measure already rounded to ``scale`` decimals.
 
-    Such measures are summed as scaled longs, so the quotient is one correctly
+    Such measures are summed as scaled whole numbers, so the quotient is one correctly
     rounded division: an exact tie such as (17.703 + 18.507) / 2 = 18.105 stays
     a tie for the half-up ``round``, whatever the partitioning. A double sum
-    would let the summation order decide it. Long sums also stay in codegen.
+    would let the summation order decide it. The sum is a decimal, so no measure
+    overflows it. NaN and infinite values take no part in an average.
     """
+    x = finite(c)
     if scale is None:
-        return F.avg(col_of(c))
+        return F.avg(x)
     m = 10 ** scale
-    return F.try_divide(F.sum(F.round(col_of(c) * F.lit(m)).cast("long")), F.count(col_of(c)) * F.lit(m))
+    total = F.try_sum(F.round(x * F.lit(m)).try_cast("decimal(38,0)")).cast("double")
+    return F.try_divide(total, F.count(x) * F.lit(m))
+
+
+def finite(c: ColumnOrName) -> Column:
+    """The value, or NULL where it is NaN or infinite."""
+    x = col_of(c)
+    d = x.cast("double")
+    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), x)
 
 
 def avg_where(c: ColumnOrName, cond: Column | None = None, digits: int = 2, scale: int | None = None) -> Column:

@@ -1,43 +1,18 @@
-"""Dimension lookups with a size-checked broadcast.
+"""Dimension lookups.
 
-A side gets an explicit broadcast hint only when its size is bounded: proven
-by construction (a dimension restricted to a fixed key domain and unique on its
-key), or checked with a bounded count (``limit(n + 1).count()`` reads at most
-n + 1 rows). Otherwise no hint is given and Spark's own size check decides:
-the planner broadcasts a side whose stored size is under
-``spark.sql.autoBroadcastJoinThreshold``, AQE does the same from runtime sizes,
-and beyond that the join is a shuffle join. Small dimensions derived from
-large tables are therefore materialised as tables first (see
-``strata.plans.driver``), so the check sees their real size.
+A side gets a broadcast hint only where its size is proven by construction (see
+``facts.zone_roles``: at most 265 zones). Everything else goes without a hint, and
+Spark's size check on the stored table decides: a side under
+``spark.sql.autoBroadcastJoinThreshold`` is broadcast, beyond that the join shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      proven: bool = False) -> DataFrame:
-    if proven or fits(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, proven: bool = False) -> DataFrame:
-    """Enrich ``fact`` from ``dim``; the dimension is broadcast only within the bound."""
-    return fact.join(bounded_broadcast(dim, max_rows, proven), on, how)
-
 
 def role_view(dim: DataFrame, key: str, columns: dict[str, str], role_key: str) -> DataFrame:
     """The same dimension in one role: ``key`` renamed to ``role_key``, attributes renamed."""
@@ -50,18 +25,13 @@ def code_view(codes: DataFrame, code_type: str, alias: str) -> DataFrame:
             .select(F.col("code").alias(f"_{alias}_code"), F.col("description").alias(alias)))
 
 
-def code_lookup(fact: DataFrame, codes: DataFrame, specs: Sequence[tuple[str, str, str]], default: str,
-                max_rows: int | None = None) -> DataFrame:
+def code_lookup(fact: DataFrame, codes: DataFrame, specs: Sequence[tuple[str, str, str]], default: str) -> DataFrame:
     """Decode several coded columns from one dictionary.
 
     ``specs`` = [(code_type, fact_column, output_alias)]; unmatched codes get ``default``.
-    With ``max_rows`` the dictionary is checked once (bounded count) and hinted;
-    without it Spark's size check on the stored dictionary decides.
     """
-    small = max_rows is not None and fits(codes, max_rows)
     out = fact
     for code_type, fact_col, alias in specs:
         view = code_view(codes, code_type, alias)
-        view = F.broadcast(view) if small else view
         out = out.join(view, F.col(fact_col) == F.col(f"_{alias}_code"), "left").drop(f"_{alias}_code")
     return out.fillna({alias: default for _, _, alias in specs})

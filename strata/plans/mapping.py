@@ -81,7 +81,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", F.lit("Y")).otherwise(F.lit("N")).alias("store_and_fwd_flag"),
         (F.col("c_nationkey") + 1).cast("int").alias("pu_location_id"),
         (F.col("s_nationkey") + 1).cast("int").alias("do_location_id"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("payment_type"),
         fare.alias("fare_amount"),
         F.col("l_tax").alias("extra"),
         F.lit(0.5).alias("mta_tax"),
@@ -137,8 +137,8 @@ def code_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" return flag "), F.col("l_returnflag"), F.lit(" ")).alias("description")).distinct()
     pay = od.select(
         F.lit("payment_type").alias("code_type"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("code"),
-        F.substring("o_orderpriority", 3, 100).alias("description")).distinct()
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("code"),
+        F.expr("substring(o_orderpriority, instr(o_orderpriority, '-') + 1)").alias("description")).distinct()
     return vendor.unionByName(rate).unionByName(pay)
 
 

@@ -71,7 +71,7 @@ raw_trips AS (
     CASE WHEN l.l_linestatus = 'O' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
     CAST(c.c_nationkey + 1 AS INTEGER) AS pu_location_id,
     CAST(s.s_nationkey + 1 AS INTEGER) AS do_location_id,
-    CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
+    CAST(split_part(o.o_orderpriority, '-', 1) AS INTEGER) AS payment_type,
     l.l_extendedprice / 100 AS fare_amount,
     l.l_tax AS extra,
     CAST(0.5 AS DOUBLE) AS mta_tax,
@@ -171,8 +171,8 @@ code_src AS (
   SELECT * FROM (SELECT DISTINCT 'ratecode', CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS INTEGER),
       ' return flag ' || l_returnflag || ' ' FROM lineitem)
   UNION ALL
-  SELECT * FROM (SELECT DISTINCT 'payment_type', CAST(substr(o_orderpriority, 1, 1) AS INTEGER),
-      substr(o_orderpriority, 3, 100) FROM orders)),
+  SELECT * FROM (SELECT DISTINCT 'payment_type', CAST(split_part(o_orderpriority, '-', 1) AS INTEGER),
+      substr(o_orderpriority, strpos(o_orderpriority, '-') + 1) FROM orders)),
 codes AS (
   SELECT code_type, code, trim(description) AS description FROM code_src
   WHERE code_type IS NOT NULL AND code IS NOT NULL AND description IS NOT NULL

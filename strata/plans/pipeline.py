@@ -2,21 +2,21 @@
 
 Tables are Parquet paths ``<root>/<layer>/<name>``. Stages pass state only
 through tables and the run id; each returns its metrics dict and appends it to
-the quality log. Per-slice counts are observed on the writes themselves, so a
-stage reads each input once per output instead of once per metric.
+the quality log. Per-slice counts are one aggregation by slice over the stored
+tables; the rows read are counted on the input, so a lost row shows.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators import dims, facts, marts
-from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, split_tagged, with_audit
+from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, with_audit
 from strata.operators.rules import code_rules, trip_rules, weather_rules, zone_rules
 from strata.params import JobParams, slice_bounds
 from strata.presets import Preset
@@ -42,55 +42,50 @@ def ingest_trips(spark: SparkSession, params: JobParams, paths: Mapping[str, str
                  preset: Preset = P.TRIP_PRESET, data_source: str = "trip_parquet") -> dict[str, dict[str, int]]:
     """Monthly files -> bronze trips + quarantine, one write each for all requested slices.
 
-    Each file is normalised with its own footer and checked with its own month
-    as a literal, so the valid branch pushes the time range into the scan.
+    Each file is normalised with its own footer and checked with its own month as a
+    literal, so the valid branch pushes the time range into its scan; the two outputs
+    are two filtered scans, nothing is cached. The rows read come from the files'
+    footers, not from the outputs. Absent columns are logged per file.
     """
     slices = params.slices
-    tagged = None
+    valid = invalid = None
+    read = {}
     for ym in slices:
-        df = R.read_drifting(spark, {ym: paths[ym]}, S.TRIP_DRIFT, SLICE)
-        t = trip_rules(preset, ym).tag(df)
-        tagged = t if tagged is None else tagged.unionByName(t)
-    return write_tagged_trips(spark, params, tagged, slices, data_source)
-
-
-def write_tagged_trips(spark: SparkSession, params: JobParams, tagged: DataFrame, slices: list[str],
-                       data_source: str = "trip_parquet", entity_prefix: str = "yellow_trips_"):
-    """Both outputs from one evaluation of the source: the verdict-tagged rows are
-    persisted (memory, spilling to disk; recomputed from lineage if an executor is
-    lost), so the quarantine and the bronze write do not each re-read and
-    re-normalise the input. Nearly every row lands in one of the two outputs, so a
-    second filtered read would cost a full pass and save little."""
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        valid, invalid = split_tagged(tagged)
-        return write_trip_slices(spark, params, valid, invalid, slices, data_source, entity_prefix)
-    finally:
-        tagged.unpersist()
+        source = spark.read.parquet(paths[ym])
+        read[ym] = source.count()
+        absent = R.missing_columns(source, S.TRIP_DRIFT)
+        if absent:
+            _log(spark, params, "bronze", f"yellow_trips_{ym}", {f"absent_column_{c}": 1 for c in absent})
+        v, i = split_with_reasons(trip_rules(preset, ym), R.read_drifting(spark, {ym: paths[ym]}, S.TRIP_DRIFT, SLICE))
+        valid, invalid = (v, i) if valid is None else (valid.unionByName(v), invalid.unionByName(i))
+    return write_trip_slices(spark, params, valid, invalid, slices, read, data_source)
+
+
+def split_with_reasons(rules, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) of a rule set; invalid rows carry the broken rules in ``_reasons``."""
+    valid, invalid = rules.split(df)
+    return valid, invalid.withColumn("_reasons", rules.reasons(invalid))
 
 
 def write_trip_slices(spark: SparkSession, params: JobParams, valid: DataFrame, invalid: DataFrame,
-                      slices: list[str], data_source: str = "trip_parquet",
+                      slices: list[str], read: Mapping[str, int], data_source: str = "trip_parquet",
                       entity_prefix: str = "yellow_trips_") -> dict[str, dict[str, int]]:
-    """Quarantine and bronze slice replacement with per-slice metrics from the two writes.
+    """Quarantine and bronze slice replacement with per-slice metrics.
 
-    ``invalid`` carries the broken rule names in ``_reasons``.
+    ``invalid`` carries the broken rule names in ``_reasons``; ``read`` has the input rows
+    per slice. The other counts are one aggregation by slice over the stored table, so
+    their cost does not depend on the number of slices.
     """
     q = _trip_quarantine(invalid, params, entity_prefix)
     entities = [f"{entity_prefix}{ym}" for ym in slices]
     stored_q = W.replace_slices(q, _t(params, "bronze", "quarantine"), "entity", entities)
-
-    nulls = [F.count_if((F.col(SLICE) == ym) & F.col("passenger_count").isNull()).alias(f"nullpax::{ym}")
-             for ym in slices]
-    obs = Observation("bronze_trips")
-    stored = W.replace_slices(with_audit(valid, data_source, params.run_id), _t(params, "bronze", "yellow_trips"),
-                              SLICE, slices, observe=obs, extra_metrics=nulls)
-    got = obs.get
-    summary = {}
-    for ym in slices:
-        nq = stored_q[f"{entity_prefix}{ym}"]
-        summary[ym] = {"rows_read": stored[ym] + nq, "rows_valid": stored[ym], "rows_quarantined": nq,
-                       "null_passenger_count": int(got.get(f"nullpax::{ym}", 0) or 0)}
+    path = _t(params, "bronze", "yellow_trips")
+    stored = W.replace_slices(with_audit(valid, data_source, params.run_id), path, SLICE, slices)
+    table = T.read(spark, params.root, "bronze", "yellow_trips").filter(F.col(SLICE).isin(*slices))
+    nulls = {r[0]: r[1] for r in table.groupBy(SLICE).agg(F.count_if(F.col("passenger_count").isNull())).collect()}
+    summary = {ym: {"rows_read": int(read.get(ym, 0)), "rows_valid": stored[ym],
+                    "rows_quarantined": stored_q[f"{entity_prefix}{ym}"],
+                    "null_passenger_count": int(nulls.get(ym, 0))} for ym in slices}
     M.append_many(spark, _t(params, "audit", "data_quality_log"), params.run_id, "bronze",
                   {f"{entity_prefix}{ym}": m for ym, m in summary.items()})
     return summary
@@ -225,8 +220,15 @@ def export_marts(spark: SparkSession, params: JobParams, url: str, options: Mapp
 
 
 def run(spark: SparkSession, params: JobParams, trip_paths: Mapping[str, str], zones_path: str,
-        codes_path: str, weather_path: str, preset: Preset = P.TRIP_PRESET) -> dict[str, object]:
-    """Whole workflow in dependency order (J6); missing tables are created first."""
+        codes_path: str, weather_path: str, preset: Preset = P.TRIP_PRESET, export_url: str | None = None,
+        export_options: Mapping[str, str] | None = None) -> dict[str, object]:
+    """Whole workflow in dependency order (J6); missing tables are created first.
+
+    ``params.top_k`` overrides the preset's; with ``params.export_enabled`` the marts go to ``export_url`` last.
+    """
+    if params.export_enabled and not export_url:
+        raise ValueError("export is enabled but no export_url is given")
+    preset = dataclasses.replace(preset, top_k=params.top_k)
     out: dict[str, object] = {"created": T.ensure_all(spark, params.root)}
     out["trips"] = ingest_trips(spark, params, trip_paths, preset)
     out["zones"] = ingest_zones(spark, params, zones_path, preset)
@@ -235,4 +237,5 @@ def run(spark: SparkSession, params: JobParams, trip_paths: Mapping[str, str], z
     out["dims"] = build_dims(spark, params, preset)
     out["fact"] = build_fact_stage(spark, params, preset)
     out["marts"] = build_marts(spark, params, preset)
+    out["export"] = export_marts(spark, params, export_url, export_options or {}) if params.export_enabled else {}
     return out

@@ -43,11 +43,13 @@ def build_session(master: str | None = None, app: str = "strata", shuffle_partit
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); set a private one only if unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a private one only if unset and all is local."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = sc.getCheckpointDir()
+    if not base and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
     if not base:
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)

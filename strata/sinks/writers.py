@@ -4,12 +4,13 @@
   other slices are untouched, and a requested slice without new rows ends up
   empty. Dynamic partition overwrite rewrites the slices that have rows; it
   keeps a slice that has none (S-14), so those directories are removed after
-  the write. Rows outside the requested slices stop the job (``raise_error``)
-  instead of silently landing in another slice.
+  the write, and only if the write has reported which slices it wrote. Rows
+  outside the requested slices stop the job (``raise_error``) instead of silently
+  landing in another slice. A killed run can be repeated as it is.
 * ``upsert``: keyed merge that never deletes: target rows whose key is absent
-  from the source, plus the de-duplicated source, written to a staged location
-  and swapped in. A table cannot be overwritten while it is read (S-15); the
-  swap is two renames, not atomic across files.
+  from the source, plus the de-duplicated source, written beside the table and
+  swapped in. The two renames have fixed names, so every later access finds and
+  finishes (or undoes) a swap that was cut off (``recover``).
 * ``overwrite``, ``clustered`` (range-partitioned, sorted files: each file
   covers a narrow key range, so min/max statistics prune on that key), and
   ``publish_jdbc``.
@@ -56,8 +57,30 @@ def modification_time(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(p).getModificationTime())
 
 
+def _beside(path: str) -> tuple[str, str]:
+    """Where an upsert stages the new table and keeps the old one."""
+    base = path.rstrip("/")
+    return f"{base}.__staged", f"{base}.__old"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo an upsert's swap that was cut off: without a table the old one comes back."""
+    _, old = _beside(path)
+    if path_exists(spark, old):
+        if path_exists(spark, path):
+            remove_path(spark, old)
+        else:
+            rename_path(spark, old, path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """True if the folder holds data (files or partitions), whether or not a success marker is there."""
+    recover(spark, path)
+    fs, p = _jfs(spark, path)
+    if not fs.exists(p):
+        return False
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return "_SUCCESS" in names or any(not n.startswith(("_", ".")) for n in names)
 
 
 def _slice_dir(path: str, col: str, value: str) -> str:
@@ -78,66 +101,96 @@ def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
                    rebalance: bool = True) -> dict[str, int]:
     """Replace exactly ``slices`` of the table at ``path`` partitioned by ``col`` (K1, K2).
 
-    Returns the number of rows written per requested slice. The counts come from
-    an ``Observation`` on the write itself, so no extra job scans the data.
-    ``extra_metrics`` are further aggregate Columns observed in the same pass.
-    With ``rebalance`` the rows are redistributed on the slice column first
-    (AQE splits a large slice and merges small ones to the advisory size), so a
-    slice is written as a few right-sized files instead of one file per task.
-    A frame that is already laid out (e.g. ``clustered``) passes ``rebalance=False``.
+    Returns the number of rows now stored per requested slice: one aggregation by
+    the partition column, which Parquet footers answer. ``extra_metrics`` are
+    aggregate Columns observed on the write. With ``rebalance`` the rows are
+    redistributed on the slice column first (AQE splits a large slice and merges
+    small ones to the advisory size), so a slice is written as a few right-sized
+    files instead of one file per task. A frame that is already laid out (e.g.
+    ``clustered``) passes ``rebalance=False``.
     """
     spark = df.sparkSession
     slices = list(dict.fromkeys(slices))
     obs = observe or Observation(f"slices_{uuid.uuid4().hex[:8]}")
-    metrics = [F.count_if(F.col(col) == F.lit(s)).alias(f"rows::{s}") for s in slices] + list(extra_metrics)
     out = guard_slices(df, col, slices)
     if rebalance:
         out = out.hint("rebalance", col)
     # Observed right before the writer, above any exchange: when a stage's output is
     # empty, AQE may replace the plan below the exchange and its metrics with it.
-    out = out.observe(obs, *metrics)
-    writer = out.write.partitionBy(col).option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite" if table_exists(spark, path) else "errorifexists").parquet(path)
+    # The set of slices is bounded by the requested ones.
+    out = out.observe(obs, F.collect_set(F.col(col).cast("string")).alias("slices_written"), *extra_metrics)
+    recover(spark, path)
+    out.write.partitionBy(col).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     got = obs.get
-    written = {s: int(got.get(f"rows::{s}", 0) or 0) for s in slices}
-    for s, n in written.items():
-        if n == 0:
+    if "slices_written" not in got:
+        raise RuntimeError(f"the write to {path} reported no slices; none is removed")
+    full = set(got["slices_written"] or ())
+    for s in slices:
+        if s not in full:
             remove_path(spark, _slice_dir(path, col, s))
-    return written
+    if not full:
+        return {s: 0 for s in slices}
+    stored = spark.read.schema(df.schema).option("basePath", path).parquet(path).filter(F.col(col).isin(*full))
+    rows = {r[0]: r[1] for r in stored.groupBy(F.col(col).cast("string")).count().collect()}
+    return {s: int(rows.get(s, 0)) for s in slices}
+
+
+def _whole_rows(src: DataFrame, target: DataFrame, path: str) -> DataFrame:
+    """The source in the target's columns; a merge must not blank or invent columns."""
+    missing, extra = set(target.columns) - set(src.columns), set(src.columns) - set(target.columns)
+    if missing or extra:
+        raise ValueError(f"upsert into {path}: missing columns {sorted(missing)}, unknown columns {sorted(extra)}")
+    return src.select(*target.columns)
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_col: str | None = None) -> None:
     """Keyed upsert (K3): matched keys take the source row, new keys are inserted, nothing is deleted.
 
-    With ``partition_col`` (which the key must determine, e.g. a date's month) the
-    target is partitioned and only the partitions the source touches are read and
-    rewritten, through the staged dynamic overwrite of ``replace_slices``; the
-    rest of the table is not read at all. The touched values are a short list
-    (at most the number of partitions), fetched with one small distinct query.
+    The source must have exactly the target's columns. With ``partition_col``
+    (which the key must determine, e.g. a date's month; never NULL) the target is
+    partitioned and only the partitions the source touches are read and rewritten,
+    through the dynamic overwrite of ``replace_slices``; the rest of the table is
+    not read at all. The touched values (at most the number of partitions) are
+    fetched with one small distinct query.
     """
     spark = df.sparkSession
     src = dedupe(df, keys)
+    exists = table_exists(spark, path)
     if partition_col is not None:
-        touched = sorted(r[0] for r in src.select(partition_col).distinct().collect())
-        if table_exists(spark, path):
-            target = spark.read.parquet(path).filter(F.col(partition_col).isin(*touched))
-            src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src, allowMissingColumns=True)
+        values = [r[0] for r in src.select(partition_col).distinct().collect()]
+        if None in values:
+            raise ValueError(f"upsert into {path}: NULL in the partition column {partition_col}")
+        touched = sorted(values)
+        if exists:
+            table = spark.read.parquet(path)
+            target = table.filter(F.col(partition_col).isin(*touched))
+            src = _whole_rows(src, table, path)
+            src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
         replace_slices(src, path, partition_col, touched)
         return
-    if not table_exists(spark, path):
-        src.write.mode("errorifexists").parquet(path)
-        return
-    target = spark.read.parquet(path)
-    kept = target.join(src.select(*keys), list(keys), "left_anti")
-    merged = kept.unionByName(src, allowMissingColumns=True)
-    tag = uuid.uuid4().hex[:12]
-    staged, old = f"{path.rstrip('/')}.__staged_{tag}", f"{path.rstrip('/')}.__old_{tag}"
-    merged.write.mode("errorifexists").parquet(staged)
-    rename_path(spark, path, old)
+    staged, old = _beside(path)
+    remove_path(spark, staged)
+    if exists:
+        target = spark.read.parquet(path)
+        src = _whole_rows(src, target, path)
+        src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
+    src.write.mode("errorifexists").parquet(staged)
+    if path_exists(spark, path):
+        rename_path(spark, path, old)
     rename_path(spark, staged, path)
     remove_path(spark, old)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Stored size of the files that ``df`` reads."""
+    return sum(int(fs.getFileStatus(p).getLen()) for fs, p in (_jfs(df.sparkSession, f) for f in df.inputFiles()))
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")))
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     """Full replacement with the frame's schema (K4). ``df`` must not read ``path``."""
     df.write.mode("overwrite").parquet(path)
@@ -152,10 +205,12 @@ def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None =
     with a narrow key range. A range partitioner cannot split one key value, so
     a hot value (one zone with a third of a month's trips) would land in a single
     task; ``tiebreak`` (a high-cardinality column such as the row id) extends the
-    range key so such a value is cut across several tasks and files.
+    range key so such a value is cut across several tasks and files. The number of
+    partitions follows the bytes read and the advisory partition size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = partitions or max(-(-input_bytes(df) // advisory_bytes(spark)), spark.sparkContext.defaultParallelism)
     range_keys = keys + ([tiebreak] if tiebreak else [])
     return df.repartitionByRange(n, *[F.col(k) for k in range_keys]).sortWithinPartitions(*keys)
 

@@ -54,3 +54,12 @@ def test_decode_map_and_ladder(spark):
     assert [r[0] for r in df.select(X.decode_map({1: "a"}, "k")).collect()] == ["a", None]
     lad = X.ladder([(F.col("k") > 5, "big")], "small")
     assert [r[0] for r in df.select(lad).collect()] == ["small", "big"]
+
+
+def test_mean_leaves_out_values_that_are_not_finite(spark):
+    from strata.functions.exprs import avg_where
+    df = spark.createDataFrame([(1.5,), (2.5,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double")
+    r = df.agg(avg_where("x", None, 2, 2).alias("a"), avg_where("x").alias("b")).first()
+    assert (r.a, r.b) == (2.0, 2.0)
+    big = spark.createDataFrame([(1e17,), (3e17,)], "x double").agg(avg_where("x", None, 2, 3).alias("a")).first()
+    assert big.a == 2e17

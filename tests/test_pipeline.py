@@ -121,3 +121,17 @@ def test_rows_valid_counted_before_key_dedupe(spark, tmp):
     m = PL.ingest_codes(spark, params, f"{tmp}/codes.json")
     assert m["rows_valid"] == 2                                      # S-17
     assert spark.read.parquet(f"{tmp}/lake4/bronze/ref_codes").count() == 1
+
+
+def test_run_takes_top_k_and_export_from_its_parameters(spark, tmp, monkeypatch):
+    import pytest
+    trips, zones, codes, weather = _inputs(tmp)
+    sent = {}
+    monkeypatch.setattr(PL.W, "publish_jdbc", lambda frames, url, options=None: sent.update(frames) or {"n": len(frames)})
+    params = JobParams(root=f"{tmp}/lake5", months="2024-12,2025-01", top_k=2, export_enabled=True)
+    with pytest.raises(ValueError, match="export_url"):
+        PL.run(spark, params, trips, zones, codes, weather)
+    out = PL.run(spark, params, trips, zones, codes, weather, export_url="jdbc:none")
+    routes = spark.read.parquet(f"{tmp}/lake5/gold/top_routes")
+    assert routes.groupBy("pu_borough").count().agg({"count": "max"}).first()[0] <= 2
+    assert out["export"] and len(sent) == 7

@@ -87,3 +87,56 @@ def test_upsert_null_keys_never_match(spark, tmp):
     W.upsert(df, p, ["k"])
     got = sorted((r.k is None, r.v) for r in spark.read.parquet(p).collect())
     assert got == [(False, "y"), (True, "x"), (True, "x")]       # S-16: the NULL-key row is inserted again
+
+
+@pytest.mark.parametrize("stop_at", [1, 2])
+def test_upsert_survives_a_stop_at_either_rename(spark, tmp, monkeypatch, stop_at):
+    p = f"{tmp}/crash"
+    W.upsert(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string"), p, ["k"])
+    batch = spark.createDataFrame([(1, "new"), (4, "ins")], "k int, v string")
+    real, calls = W.rename_path, []
+
+    def stops(s, src, dst):
+        calls.append(src)
+        if len(calls) == stop_at:
+            raise KeyboardInterrupt
+        real(s, src, dst)
+
+    monkeypatch.setattr(W, "rename_path", stops)
+    with pytest.raises(KeyboardInterrupt):
+        W.upsert(batch, p, ["k"])
+    monkeypatch.setattr(W, "rename_path", real)
+    W.upsert(batch, p, ["k"])
+    assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(1, "new"), (2, "b"), (3, "c"), (4, "ins")]
+
+
+def test_upsert_refuses_other_columns(spark, tmp):
+    p = f"{tmp}/cols"
+    W.upsert(spark.createDataFrame([(1, "a", 2.0)], "k int, v string, w double"), p, ["k"])
+    for bad in ("k int, v string", "k int, v string, w double, x int"):
+        row = (1, "b", 3.0, 4)[:len(bad.split(","))]
+        with pytest.raises(ValueError, match="columns"):
+            W.upsert(spark.createDataFrame([row], bad), p, ["k"])
+    assert spark.read.parquet(p).first().w == 2.0
+
+
+def test_first_load_can_be_repeated_after_a_kill(spark, tmp):
+    import os
+    p = f"{tmp}/killed"
+    os.makedirs(f"{p}/_temporary/0")
+    assert not W.table_exists(spark, p)
+    assert W.replace_slices(_slices(spark, [(1, "a", "2025-01")]), p, "source_year_month", ["2025-01"]) == {"2025-01": 1}
+    os.remove(f"{p}/_SUCCESS") if os.path.exists(f"{p}/_SUCCESS") else None
+    assert W.table_exists(spark, p)
+    assert W.replace_slices(_slices(spark, [(2, "b", "2025-01")]), p, "source_year_month", ["2025-01"]) == {"2025-01": 1}
+
+
+def test_clustered_partitions_follow_the_input(spark, tmp):
+    spark.range(0, 200_000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("h")).write.parquet(f"{tmp}/big")
+    df = spark.read.parquet(f"{tmp}/big")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        n = W.clustered(df, "id").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    assert n >= W.input_bytes(df) // (256 * 1024) > 8
