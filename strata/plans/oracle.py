@@ -424,6 +424,7 @@ def oracle_sql() -> dict[str, str]:
                     {avg_where('total_amount', CLEAN)} AS avg_total_amount
                   FROM ev GROUP BY pickup_day_of_week, pickup_hour)""",
     }
-    from strata.plans.io_oracle import io_oracle_sql
+    from strata.plans.io_oracle import entity_oracle_sql, io_oracle_sql
     q.update(io_oracle_sql())
+    q.update(entity_oracle_sql())
     return q

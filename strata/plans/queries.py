@@ -179,7 +179,7 @@ def weather_impact(spark, d):
 
 
 def registry() -> dict[str, Query]:
-    from strata.plans import io_queries
+    from strata.plans import entity_queries, io_queries
     q: dict[str, Query] = {
         "hard_rules_valid": hard_rules_valid,
         "hard_rules_invalid": hard_rules_invalid,
@@ -209,4 +209,5 @@ def registry() -> dict[str, Query]:
         "weather_impact": weather_impact,
     }
     q.update(io_queries.registry())
+    q.update(entity_queries.registry())
     return q

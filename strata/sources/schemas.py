@@ -35,7 +35,7 @@ TRIP_RENAME = {
     "airport_fee": "airport_fee", "cbd_congestion_fee": "cbd_congestion_fee",
 }
 
-# Wall-clock local times are kept as written: no zone (S-21).
+# Canonical trip columns and types. Wall-clock local times are kept as written: no zone (S-21).
 TRIP_SCHEMA = _fields(
     ("vendor_id", IntegerType()), ("pickup_datetime", TimestampNTZType()),
     ("dropoff_datetime", TimestampNTZType()), ("passenger_count", IntegerType()),
@@ -58,6 +58,7 @@ ZONE_DRIFT = DriftSpec(ZONE_SCHEMA, {"locationid": "location_id", "borough": "bo
 
 CODE_SCHEMA = _fields(("code_type", StringType()), ("code", IntegerType()), ("description", StringType()))
 
+# Variable names of the weather documents, and their column names here.
 WEATHER_VARS = ["temperature_2m_max", "temperature_2m_min", "precipitation_sum", "snowfall_sum",
                 "wind_speed_10m_max"]
 WEATHER_TARGETS = ["temperature_max_c", "temperature_min_c", "precipitation_mm", "snowfall_cm",
