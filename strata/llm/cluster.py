@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import broadcast_if_small, checkpointed, keep, needed
 
 BLOCK = 512
+#: Rows of one call of the verification: it takes many small clusters together.
+BATCH = 1000
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -86,24 +88,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return found.unionByName(roots).unionByName(loops.select("node", F.col("node").alias("component")))
 
 
-def links_in_task(pdf: pd.DataFrame, percent: int, unpacked: Callable) -> pd.DataFrame:
-    """Links of one task that join components: side 0 against itself and against side 1.
+def links_of_cluster(node: np.ndarray, side: np.ndarray, need: np.ndarray, sets: list, prefixes: list,
+                     percent: int) -> list[tuple[int, int]]:
+    """Links of one cluster (or of two of its blocks) that join components: side 0 against itself and side 1.
 
-    A row has ``node``, ``side``, ``item`` (bytes) and ``need``; ``unpacked(item, need)`` gives the distinct hashes
-    of the set and of its prefix. Two similar sets share at least the smaller of their ``need`` values among their prefixes; only such pairs, of
+    Two similar sets share at least the smaller of their ``need`` values among their prefixes; only such pairs, of
     sizes that allow the similarity, are compared exactly (100 * shared >= percent * union). Pairs that links
     found before already join are passed over.
     """
-    pdf = pdf.sort_values(["side", "node"], kind="stable").drop_duplicates("node")
-    node, side, need = pdf["node"].to_numpy(), pdf["side"].to_numpy(), pdf["need"].to_numpy()
-    sets, prefixes = zip(*(unpacked(t, n) for t, n in zip(pdf["item"], need, strict=True)), strict=True)
     size = np.array([len(t) for t in sets])
-    owner = np.repeat(np.arange(len(pdf)), [len(p) for p in prefixes])
-    values, where = np.unique(np.concatenate(prefixes), return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    posting, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(values)))])
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
-    parent = np.arange(len(pdf))
+    parent = list(range(len(node)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -112,30 +106,63 @@ def links_in_task(pdf: pd.DataFrame, percent: int, unpacked: Callable) -> pd.Dat
         return x
 
     out = []
-    label = parent.copy()  # roots, brought up to date after each document
+    as_sets: dict[int, set] = {}
+
+    def compare(i: int, j: int) -> None:
+        a, b = root(i), root(j)
+        if a == b:
+            return
+        for k in (i, j):
+            if k not in as_sets:
+                as_sets[k] = set(sets[k].tolist())
+        both = len(as_sets[i] & as_sets[j])
+        if 100 * both >= percent * (int(size[i]) + int(size[j]) - both):
+            parent[max(a, b)] = min(a, b)
+            out.append((int(node[i]), int(node[j])))
+
+    if len(node) <= 4:  # too few for an index
+        for i in range(len(node)):
+            for j in range(i):
+                if (side[i] == 0 or side[j] == 0) and 100 * min(size[i], size[j]) >= percent * max(size[i], size[j]):
+                    compare(i, j)
+        return out
+    owner = np.repeat(np.arange(len(node)), [len(p) for p in prefixes])
+    values, where = np.unique(np.concatenate(prefixes), return_inverse=True)
+    order = np.argsort(where, kind="stable")
+    posting, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(values)))])
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
+    label = np.array(parent)  # roots, brought up to date after each document
     for i in np.flatnonzero(side == 0):
         mine = where[starts[i]:starts[i + 1]]
         hits = np.concatenate([posting[first[v]:first[v + 1]] for v in mine]) if len(mine) else mine
-        shared = np.bincount(hits, minlength=len(pdf))
+        shared = np.bincount(hits, minlength=len(node))
         other = np.flatnonzero((shared >= np.minimum(need, need[i])) & (shared > 0) & (label != label[i])
                                & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
-        changed = False
+        found = len(out)
         for j in other[np.argsort(-shared[other], kind="stable")]:
-            a, b = root(i), root(int(j))
-            if a == b:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (size[i] + size[j] - both):
-                parent[max(a, b)] = min(a, b)
-                out.append((node[i], node[j]))
-                changed = True
-        if changed:
-            label = np.array([root(x) for x in range(len(pdf))])
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-
-def _link(tasks: DataFrame, keys: list[str], percent: int, unpacked: Callable) -> DataFrame:
-    return tasks.groupBy(*keys).applyInPandas(lambda pdf: links_in_task(pdf, percent, unpacked), "a long, b long")
+            compare(int(i), int(j))
+        if len(out) > found:
+            label = np.array([root(x) for x in range(len(node))])
+    return out
+
+
+def _link(tasks: DataFrame, keys: list[str], percent: int, unpacked: Callable, rows: int) -> DataFrame:
+    """Links of all tasks (rows of equal ``keys``): ``node``, ``side``, ``item`` (bytes) and ``need``, where
+    ``unpacked(item, need)`` gives the distinct hashes of the set and of its prefix."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*keys, "side", "node"], kind="stable").drop_duplicates([*keys, "node"])
+        cut = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy())
+        node, side, need = (pdf[c].to_numpy() for c in ("node", "side", "need"))
+        item = pdf["item"].to_numpy()
+        out = []
+        for a, b in zip(cut, [*cut[1:], len(pdf)], strict=True):
+            if b - a > 1:
+                sets, prefixes = zip(*(unpacked(t, n) for t, n in zip(item[a:b], need[a:b], strict=True)), strict=True)
+                out += links_of_cluster(node[a:b], side[a:b], need[a:b], list(sets), list(prefixes), percent)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    together = F.pmod(F.xxhash64(*keys), F.lit(max(1, rows // BATCH)))
+    return tasks.withColumn("together", together).groupBy("together").applyInPandas(run, "a long, b long")
 
 
 def _ways(column: str, n) -> F.Column:
@@ -147,7 +174,7 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
     """``node``, ``component`` for the members of ``clusters`` (``node``, ``cluster``) that have verified links.
 
     ``items`` gets members (with further columns of ``clusters``) and returns them with ``item`` and ``need``, as
-    ``links_in_task`` takes them. Nodes without links don't appear.
+    ``_link`` takes them. Nodes without links don't appear.
     """
     sized = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = clusters.join(sized, "cluster").withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("long"))
@@ -158,7 +185,7 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
                                               .otherwise(F.array("block"))))
     tasks = tasks.withColumn("side", F.when(hub, 0).otherwise(1))
     links = checkpointed(_link(tasks.select("cluster", "task", "side", "node", "item", "need"),
-                               ["cluster", "task"], percent, unpacked))
+                               ["cluster", "task"], percent, unpacked, full.count()))
     cut = full.filter("blocks > 1")
     if cut.isEmpty():
         return connected_components(links)
@@ -175,7 +202,9 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
     right = (cut.join(count, "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("task", F.col("block")).withColumn("side", F.lit(1)))
     columns = ["cluster", "part", "task", "side", "node", "item", "need"]
-    more = _link(left.select(*columns).unionByName(right.select(*columns)), ["cluster", "part", "task"], percent, unpacked)
+    both = left.select(*columns).unionByName(right.select(*columns))
+    more = _link(both, ["cluster", "part", "task"], percent, unpacked,
+                 2 * full.count())
     return connected_components(links.unionByName(checkpointed(more)))
 
 
