@@ -3,10 +3,12 @@
 Standard-library parser events become lines: one a block element, with its text and the number of tags met in it.
 The ratio of characters to tags of each line is smoothed with a Gaussian over neighbouring lines; lines at or
 above the threshold (the standard deviation of the smoothed ratios) cluster into content. The content region is
-the deepest element that holds most of the clustered text (an ``article`` or ``main`` element where one does), and
-all its blocks are returned, short ones too. Elements that are never content are left out wherever they stand:
-menus, headers (but for headings in an article), footers, sidebars, forms, scripts, styles, and elements whose
-class, id or role names them as adverts, notices, comments, navigation or the like.
+the smallest element that holds all the clustered text, and all its blocks are returned, short ones too. Where
+``article`` and ``main`` elements hold most of the clustered text, it is what holds all of their part: the smallest
+element inside one of them, or else all of them. Elements that are never content are left out wherever they stand:
+menus, headers (but for headings in an article), footers, sidebars, scripts, styles, and elements whose role names
+them as navigation or the like. So are forms, and elements whose class or id names them as adverts, notices, comments
+or the like, unless one holds most of the page's text and no ``article`` or ``main`` has text outside it.
 
 White space inside a block (line breaks too) becomes one space; blocks are trimmed and joined by one line feed;
 character references are decoded. Unclosed and unmatched tags are accepted. A null or empty page, one without
@@ -30,42 +32,43 @@ SIGMA, MOST = 1.0, 0.6
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup td th time tt u var wbr".split())
-NEVER = frozenset("head title nav header footer aside form script style noscript template iframe object svg button "
+NEVER = frozenset("head title nav header footer aside script style noscript template iframe object svg button "
                   "select textarea menu dialog".split())
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|aside|nav\w*|menu\w*|breadcrumbs?|"
     r"footer|header|masthead|comments?|comment-\w+|disqus|replies|cookies?|consent|gdpr|notices?|alert|popup|modal|"
     r"newsletter|subscribe|subscription|signup|share|sharing|social|related|recommend\w*|widget|pagination|toolbar|"
     r"login|search)(?=$|[\s_-])", re.IGNORECASE)
+#: Parts of class names that tell of other elements (no-sidebar), or of an article's own head.
+_TELLS = re.compile(r"(?:^|(?<=\s))(?:(?:no|with|without|has|have)[-_]\S+|(?:article|post|entry|story|content)[-_]header)(?=$|\s)",
+                    re.IGNORECASE)
 _HEADING = re.compile(r"h[1-6]$")
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 
 
 class Lines(HTMLParser):
-    """Collects lines: text, tags, whether they may be content, and the elements around them."""
+    """Collects lines (text, tags, element) and elements (name, parent, whether it is never content, whether its name
+    says that it isn't, and the element that decides for it instead of its parent, or -1)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # name, barred, number of the element
-        self.elements: list[tuple[str, int]] = []  # name and parent
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.stack: list[tuple[str, int]] = []  # name and number of the element
+        self.elements: list[tuple[str, int, bool, bool, int]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.tags = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            barred = bool(self.stack) and self.stack[-1][1]
-            self.lines.append((text, self.tags, not barred, self.stack[-1][2] if self.stack else -1))
+            self.lines.append((text, self.tags, self.stack[-1][1] if self.stack else -1))
             self.tags = 0
         self.parts = []
 
-    def barred(self, tag: str, attrs) -> bool:
+    def never(self, tag: str, attrs) -> bool:
         if tag in NEVER:
             return True
         for key, value in attrs:
-            if value and key in ("class", "id") and tag not in ("body", "html", "article", "main") and _NAMED.search(value):
-                return True
             if key == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "form"):
                 return True
             if key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -74,6 +77,47 @@ class Lines(HTMLParser):
                 return True
         return tag == "article" and any(k in ("class", "id") and v and "comment" in v.lower() for k, v in attrs)
 
+    def named(self, tag: str, attrs) -> bool:
+        return tag == "form" or tag not in ("body", "html", "article", "main") and any(
+            v and k in ("class", "id") and _NAMED.search(v) and _NAMED.search(_TELLS.sub("", v)) for k, v in attrs)
+
+    def barred(self) -> list[bool]:
+        """Whether each element is left out."""
+        names = [x[0] for x in self.elements]
+        up = [x[1] for x in self.elements]
+
+        def spread(own: list[bool]) -> list[bool]:
+            out: list[bool] = []
+            for x, mine in zip(self.elements, own, strict=True):
+                out.append(out[x[4]] if x[4] >= 0 else mine or (x[1] >= 0 and out[x[1]]))
+            return out
+
+        never = spread([x[2] for x in self.elements])
+        if not any(x[3] for x in self.elements):
+            return never
+        total, size = 0, [0] * len(names)
+        for text, _, at in self.lines:
+            if at < 0 or not never[at]:
+                total += len(text)
+                if at >= 0:
+                    size[at] += len(text)
+        for e in range(len(names) - 1, -1, -1):
+            if up[e] >= 0:
+                size[up[e]] += size[e]
+        # text in the outermost article and main elements, and what of it each element holds
+        inside: list[bool] = []
+        story = [0] * len(names)
+        for e, name in enumerate(names):
+            above = up[e] >= 0 and inside[up[e]]
+            inside.append(above or name in ("article", "main"))
+            story[e] = size[e] if inside[e] and not above and not never[e] else 0
+        every = sum(story)
+        for e in range(len(names) - 1, -1, -1):
+            if up[e] >= 0:
+                story[up[e]] += story[e]
+        return spread([x[2] or x[3] and not (size[e] >= MOST * total and (inside[e] or story[e] == every))
+                       for e, x in enumerate(self.elements)])
+
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
@@ -88,13 +132,12 @@ class Lines(HTMLParser):
                 break
             if self.stack[k][0] not in INLINE:
                 break
-        up = self.stack[-1] if self.stack else ("", False, -1)
-        bar = up[1] or self.barred(tag, attrs)
-        if _HEADING.match(tag) and up[0] == "header" and any(x[0] in ("article", "main") for x in self.stack):
-            above = next(k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k][0] in ("article", "main"))
-            bar = self.stack[above][1]
-        self.elements.append((tag, up[2]))
-        self.stack.append((tag, bar, len(self.elements) - 1))
+        up = self.stack[-1] if self.stack else ("", -1)
+        decides = -1
+        if _HEADING.match(tag) and up[0] == "header":
+            decides = next((n for name, n in reversed(self.stack) if name in ("article", "main")), -1)
+        self.elements.append((tag, up[1], self.never(tag, attrs), self.named(tag, attrs), decides))
+        self.stack.append((tag, len(self.elements) - 1))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -133,30 +176,39 @@ def main_text(html) -> str:
     page.feed(html)
     page.close()
     page.flush()
-    lines = page.lines
-    may = [k for k, x in enumerate(lines) if x[2]]
+    lines, names = page.lines, [x[0] for x in page.elements]
+    up, barred = [x[1] for x in page.elements], page.barred()
+    may = [k for k, x in enumerate(lines) if x[2] < 0 or not barred[x[2]]]
     if not may:
         return ""
-    ratio = np.array([len(x[0]) / max(1, x[1]) if x[2] else 0.0 for x in lines])
+    ratio = np.zeros(len(lines))
+    ratio[may] = [len(lines[k][0]) / max(1, lines[k][1]) for k in may]
     level = smoothed(ratio)
     chosen = [k for k in may if level[k] >= level.std()] or may
-    # chosen characters by element; the deepest element with most of them is the region
-    weight = dict.fromkeys(range(-1, len(page.elements)), 0)
+    story = [False] * len(names)  # inside an article or main element
+    for e, name in enumerate(names):
+        story[e] = name in ("article", "main") or (up[e] >= 0 and story[up[e]])
+    told = [k for k in chosen if lines[k][2] >= 0 and story[lines[k][2]]]
+    if sum(len(lines[k][0]) for k in told) >= MOST * sum(len(lines[k][0]) for k in chosen):
+        chosen = told
+    else:
+        told = []
+    # chosen lines by element; the smallest element with all of them is the region
+    count = [0] * len(names)
     for k in chosen:
-        at = lines[k][3]
-        while at >= 0:
-            weight[at] += len(lines[k][0])
-            at = page.elements[at][1]
-        weight[-1] += len(lines[k][0])
-    rich = [e for e in range(len(page.elements)) if weight[e] >= MOST * weight[-1]
-            and page.elements[e][0] not in INLINE and page.elements[e][0] not in _CLOSES and not _HEADING.match(page.elements[e][0])]
-    named = [e for e in rich if page.elements[e][0] in ("article", "main")]
-    region = (named or rich or [-1])[-1]
-    inside = {region}
-    for e in range(region + 1, len(page.elements)):
-        if page.elements[e][1] in inside:
-            inside.add(e)
-    return "\n".join(lines[k][0] for k in may if region < 0 or lines[k][3] in inside)
+        if lines[k][2] >= 0:
+            count[lines[k][2]] += 1
+    for e in range(len(names) - 1, -1, -1):
+        if up[e] >= 0:
+            count[up[e]] += count[e]
+    region = max((e for e, n in enumerate(count) if n == len(chosen) and names[e] not in INLINE
+                  and names[e] not in _CLOSES and not _HEADING.match(names[e])), default=-1)
+    if told and (region < 0 or not story[region]):
+        return "\n".join(lines[k][0] for k in may if lines[k][2] >= 0 and story[lines[k][2]])
+    inside = [False] * len(names)
+    for e in range(len(names)):
+        inside[e] = e == region or (up[e] >= 0 and inside[up[e]])
+    return "\n".join(lines[k][0] for k in may if region < 0 or (lines[k][2] >= 0 and inside[lines[k][2]]))
 
 
 def main_text_column(html: Column) -> Column:

@@ -154,6 +154,32 @@ def test_main_text(frame):
     assert html_text.main_text(PAGE % (frame % STORY)) == TEXT
 
 
+LONG = "A paragraph of the story that is told at great length, with many words and no tags at all in between. " * 3
+
+
+@pytest.mark.parametrize("block", ["blockquote", "section", "table", "div"])
+def test_paragraphs_around_a_large_block_stay(block):
+    cell = ("<tr><td>%s</td></tr>" if block == "table" else "%s") % (LONG * 5).strip()
+    page = f"<body><nav>Menu</nav><div><p>First. {LONG}</p><{block}>{cell}</{block}><p>Last. {LONG}</p></div></body>"
+    want = [f"First. {LONG}".strip(), (LONG * 5).strip(), f"Last. {LONG}".strip()]
+    assert html_text.main_text(page).split("\n") == want
+
+
+def test_every_article_stays():
+    page = f"<body><article><p>One. {LONG * 3}</p></article><p>Between.</p><article><p>Two. {LONG}</p></article></body>"
+    assert html_text.main_text(page).split("\n") == [f"One. {LONG * 3}".strip(), f"Two. {LONG}".strip()]
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "no-sidebar", "widget", "search results"])
+def test_a_name_does_not_bar_the_whole_page(name):
+    page = f"<body><nav>Menu</nav><div class='{name}'><h1>Title</h1><p>{LONG}</p><p>Short.</p></div></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", LONG.strip(), "Short."]
+    page = f"<body><div><div class='article-header'><h1>Title</h1></div><p>{LONG}</p></div><div class='widget'>{LONG}</div></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", LONG.strip()]
+    page = f"<body><article><p>{LONG}</p></article><div class=comments><p>{LONG * 4}</p></div></body>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % f"<article>{STORY}</article>", "x"), (2, None, None, "x"), (3, "u", "", "x"),
                                    (4, "u", "just text", "x"), (5, "u", "<nav>menu</nav>", "x"), (None, "u", "<p>a" * 3000, "x")],
