@@ -140,6 +140,25 @@ def test_minhash_recall():
     assert total > 300 and hit >= 0.99 * total
 
 
+def test_minhash_recall_at_the_threshold():
+    """Lines of 100 to 220 letters at similarity 0.80 to 0.85."""
+    import numpy as np
+    import random
+    r = random.Random(11)
+    lines = []
+    while len(lines) < 8000:
+        n = r.randint(100, 220)
+        a = r.choices(string.ascii_lowercase + " ", k=n)
+        b = a[:-r.randint(n // 8, n // 5)]
+        s, t = (line_dedup.line_set("".join(x).encode()) for x in (a, b))
+        if 80 * len(np.union1d(s, t)) <= 100 * len(np.intersect1d(s, t)) <= 85 * len(np.union1d(s, t)):
+            lines += ["".join(a).encode(), "".join(b).encode()]
+    found = line_dedup.bands(lines)
+    missed = (~(found[::2] == found[1::2]).any(1)).sum()
+    assert missed <= 0.002 * len(lines) / 2, missed
+    assert (1 - 0.8 ** line_dedup.ROWS) ** line_dedup.BANDS <= 0.002
+
+
 BENCH = [(1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"), (2, "short item"),
          (2, "short item"), (3, None), (4, "..."), (None, "unnamed words here"), (5, "alpha " * 20)]
 
