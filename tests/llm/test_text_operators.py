@@ -80,6 +80,16 @@ def test_one_document_of_a_group_stays(docs, docs_rows):
     assert len(ngram_join.keep_one(docs).columns) == len(docs.columns)
 
 
+def test_unlike_groups_of_one_id_keep_a_document_each(spark, tmp_path):
+    """Groups whose smallest doc_id is the same, or null."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(1, a), (1, a), (1, b), (2, b), (None, c), (None, c), (None, d), (None, d + " more")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    kept = ngram_join.keep_one(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert sorted(r.text[0] for r in kept) == ["a", "b", "c", "d"]
+    assert {r.text[0]: r.doc_id for r in kept} == {"a": 1, "b": 1, "c": None, "d": None}
+
+
 def test_blocks_of_a_large_cluster_lose_no_link(docs, docs_rows, monkeypatch):
     import strata.llm.cluster as cluster
     monkeypatch.setattr(cluster.verified_components, "__defaults__", (4,))
