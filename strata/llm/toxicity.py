@@ -21,6 +21,7 @@ other than ``doc_id`` and ``text`` are not read. An empty table gives an empty r
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +48,11 @@ RATIO = 15.0
 STEMS = (3, 5, 7)
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"\b[a-z][*@#$%]{2,}[a-z]*\b")
-_ADDRESSED = re.compile(r"\b(?:you|your|you're|he|she|they|such|a|an|these|those)\s+(?:are\s+|a\s+|an\s+)*$")
+#: Group 1 is the word addressed; only the first word is consumed, so that no word that follows is passed over.
+_ADDRESSED = re.compile(
+    r"\b(?:you|your|you're|he|she|they|such|a|an|these|those)\s+(?=(?:(?:are|a|an)\s+)*([^\W\d_]+))")
 _RUN = re.compile(r"!{3,}")
+_WIDE = re.compile(r"[^\x00-\x7f]+")
 
 
 def word_set(text) -> set[str]:
@@ -63,6 +67,15 @@ def signs(words: set[str]) -> set[str]:
     return out
 
 
+def case_counts(text: str) -> tuple[int, int]:
+    """Letters and capitals of the whole text (ASCII ones counted as bytes)."""
+    data = text.encode("utf-8", "surrogatepass")
+    letters = len(data) - len(data.translate(None, string.ascii_letters.encode()))
+    upper = len(data) - len(data.translate(None, string.ascii_uppercase.encode()))
+    wide = "" if text.isascii() else "".join(_WIDE.findall(text))
+    return letters + sum(map(str.isalpha, wide)), upper + sum(map(str.isupper, wide))
+
+
 class Voters:
     """Votes of all voters on one text: 1 toxic, 0 clean, -1 abstains."""
 
@@ -82,17 +95,17 @@ class Voters:
         raw = text if isinstance(text, str) else ""
         votes = [1 if hits & g else -1 for g in self.groups]
         votes += [1 if len(hits) >= 2 else -1, 1 if len(hits) >= 4 else -1]
-        addressed = False
-        for w in hits:
-            at = raw.lower().find(w.rstrip("*"))
-            addressed = addressed or bool(_ADDRESSED.search(raw[max(0, at - 24):at].lower()))
-        letters = sum(map(str.isalpha, raw[:2000]))  # of the opening; a pattern voter, not the score
-        upper = sum(map(str.isupper, raw[:2000]))
+        addressed = bool(hits) and any(self.hit(m[1], hits) for m in _ADDRESSED.finditer(raw.lower()))
+        letters, upper = case_counts(raw)
         votes += [1 if addressed else -1, 1 if _MASKED.search(raw) else -1,
                   1 if letters > 20 and upper > 0.6 * letters else -1, 1 if _RUN.search(raw) else -1]
         votes.append(0 if not hits and max(votes) < 1 else -1)
         return votes, hits
 
+    def hit(self, word: str, hits: set[str]) -> bool:
+        """Whether the word is one of ``hits``, or one of its beginnings is."""
+        return word in hits or any(len(word) > k and word[:k] + "*" in hits for k in STEMS)
+
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, limit: int) -> DataFrame:
     """``text`` and ``y`` of at most ``limit`` labelled documents outside the held-out fold."""

@@ -77,6 +77,20 @@ def test_label_model_separates_a_good_from_a_bad_voter():
     assert ((post[which] > 0.5) == y).mean() > 0.9
 
 
+def test_voters_read_the_whole_text():
+    voters = toxicity.Voters([["blenk*"], []])
+    at = {name: k for k, name in enumerate(voters.names)}
+    vote = lambda text, name: voters(text)[0][at[name]]
+    calm, loud = "some calm words " * 150, "VERY LOUD WÖRDS " * 600
+    assert vote(calm + loud, "shouting") == 1 and vote(loud[:2400] + calm * 8, "shouting") == -1
+    assert vote("An harmless word: idiot. " + calm + "You idiot", "addressed") == 1
+    assert vote("idiotism, idiot here; you are an\n idiot", "addressed") == 1
+    assert vote("the blenkat, and they are blenkats too", "addressed") == 1
+    assert vote("an idiotism, idiot", "addressed") == -1 and vote("you he idiot", "addressed") == 1
+    for text in ("", "Ünï ÇODE 日本 \U0001d400 x\u0301 123", loud, "\ud800A"):
+        assert toxicity.case_counts(text) == (sum(map(str.isalpha, text)), sum(map(str.isupper, text)))
+
+
 def test_base_score_is_exact(spark, docs, docs_rows, empty_docs, monkeypatch):
     monkeypatch.setattr(context_mixing, "FREQUENT", 50)  # the others are joined
     got = context_mixing.score_texts(docs).collect()
