@@ -32,7 +32,7 @@ def test_slice_scan_prunes_partitions(spark):
     assert "PartitionFilters: [source_year_month" in p and "IN (1998-12,1999-01,1999-02)" in p
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"load_metrics", "replace_slices", "upsert",
+@pytest.mark.parametrize("name", sorted(set(Q.registry()) - {"load_metrics", "replace_slices", "upsert",
                                                               "clustered_layout", "drift_normalize",
                                                               "parallel_arrays_to_rows", "slice_scan"}))
 def test_no_python_udf(spark, name):
