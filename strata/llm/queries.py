@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from strata.llm.columnar_search import top_k
 from strata.llm.common import read_table
 from strata.llm.context_mixing import score_texts
 from strata.llm.decontaminate import contamination
+from strata.llm.fill_middle import fill_in_middle
 from strata.llm.html_text import extract
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.multi_index import nearest
@@ -20,6 +22,7 @@ from strata.llm.quality import score_quality
 from strata.llm.sentencepiece import encode
 from strata.llm.substring_dedup import remove_repeats
 from strata.llm.toxicity import score_toxicity
+from strata.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +71,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(read_table(spark, sf_dir, "documents"))
+
+
+def op13_columnar_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _importable(query: Query) -> Query:
     """Python workers on this machine find the package where the driver found it, whatever their folder."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +103,9 @@ def registry() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_html_text": op9_html_text,
         "op10_decontaminate": op10_decontaminate,
+        "op11_whitening": op11_whitening,
+        "op12_fill_middle": op12_fill_middle,
+        "op13_columnar_search": op13_columnar_search,
         "pipeline": corpus_pipeline.run,
     }.items()}
 
@@ -145,7 +163,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
+_OP12 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS y,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+c AS (SELECT *, least(x, y) AS a, greatest(x, y) AS b, CASE
+  WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+  WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, substr(t, 1, a) AS one, substr(t, a + 1, b - a) AS two, substr(t, b + 1) AS three FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN a END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN b - a END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || one || '<S>' || three || '<M>' || two
+    ELSE '<S>' || three || '<P>' || one || '<M>' || two END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+_OP13 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS cr, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.r <> c.r),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, cr) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where it can express a query and run it over whole tables."""
-    return {"op1_substring_dedup": _OP1, "op7_ngram_join": _OP7, "op10_decontaminate": _OP10}
+    return {"op1_substring_dedup": _OP1, "op7_ngram_join": _OP7, "op10_decontaminate": _OP10,
+            "op12_fill_middle": _OP12, "op13_columnar_search": _OP13}
