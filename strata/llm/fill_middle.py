@@ -10,7 +10,8 @@ Every text becomes pieces of at most ``CHUNK`` code points, keyed by document an
 the output's digest, however long the text is. The same stream is read back as a reader of the output would: the marks
 are searched in the text, and what lies between them is keyed by its place in the original. The second
 ``repartitionAndSortWithinPartitions`` has the same partitioner, so that it sorts (and spills) within the tasks without
-another shuffle; its stream goes into the digest of the restored text.
+another shuffle; its stream goes into the digest of the restored text. The number of tasks follows the bytes of
+all texts, which Spark adds up first.
 
 A document is one row: rows are keyed by their number, not by ``doc_id``, so that repeated ids and hot ids stay apart.
 ``docs`` should be a stored table. A null text is the empty text; a null ``doc_id`` hashes as an empty string and comes
@@ -26,8 +27,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Code points of a piece.
-CHUNK = 1 << 15
+#: Code points of a piece, and bytes of text that a task sorts and streams.
+CHUNK, TASK_BYTES = 1 << 15, 64 << 20
 #: Fixed values of the format: marks, and the order in which a form writes the sections.
 PREFIX, MIDDLE, SUFFIX = 0, 1, 2
 MARKS = {PREFIX: "<P>", SUFFIX: "<S>", MIDDLE: "<M>"}
@@ -151,7 +152,8 @@ def fill_in_middle(docs: DataFrame, salt: str = SALT, texts: bool = False) -> Da
     identity = F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text"), F.sha2(identity, 256).alias("digest")).rdd
-    n = max(2 * rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(-(-size // TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     output = rows.mapPartitions(pieces).repartitionAndSortWithinPartitions(n, _spread)
     back = output.mapPartitions(lambda s: read_back(s, texts), preservesPartitioning=True)
     result = back.repartitionAndSortWithinPartitions(n, _spread).mapPartitions(lambda s: restored(s, texts))
