@@ -74,6 +74,16 @@ def mean(c: ColumnOrName, scale: int | None = None) -> Column:
     return F.try_divide(total, F.count(x) * F.lit(m))
 
 
+def total(c: ColumnOrName, scale: int = 6) -> Column:
+    """Exact sum of the finite values, each to ``scale`` decimals; NULL where there is none.
+
+    Whole numbers are added, so neither the partitioning nor the order of rows can change the result, and a NaN or an
+    infinite value takes no part instead of taking the whole sum with it.
+    """
+    m = 10 ** scale
+    return F.try_sum(F.round(finite(c) * F.lit(m)).try_cast("decimal(38,0)")).cast("double") / F.lit(m)
+
+
 def finite(c: ColumnOrName) -> Column:
     """The value, or NULL where it is NaN or infinite."""
     x = col_of(c)
@@ -130,12 +140,16 @@ def in_month(ts: ColumnOrName, ym: ColumnOrName) -> Column:
     """
     t = col_of(ts)
     if isinstance(ym, str):
-        lo = month_start(ym).isoformat()
-        hi = next_month_start(ym).isoformat()
-        return (t >= F.lit(lo)) & (t < F.lit(hi))
+        return in_months(t, ym, ym)
     return F.date_format(t, "yyyy-MM") == ym
 
 
+def in_months(ts: ColumnOrName, first: str, last: str) -> Column:
+    """``ts`` falls in the months ``first`` to ``last``: a half-open range of literals, which Parquet can push down."""
+    t = col_of(ts)
+    return (t >= F.lit(month_start(first).isoformat())) & (t < F.lit(next_month_start(last).isoformat()))
+
+
 def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole-second difference in minutes (B16 before rounding).
 

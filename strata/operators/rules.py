@@ -16,21 +16,24 @@ TRIP_REQUIRED = ("pickup_datetime", "dropoff_datetime", "pu_location_id", "do_lo
 MEASURES = ("trip_distance", "fare_amount", "total_amount")
 
 
-def trip_rules(preset: Preset = P.TRIP_PRESET, slice_value: str | Column | None = None,
+def trip_rules(preset: Preset = P.TRIP_PRESET, slice_value: str | Column | tuple[Column, Column] | None = None,
                not_nan: bool = False) -> RuleSet:
-    """B2. ``slice_value`` is the file's month as a literal (pushes down as a range)
-    or a column; by default the ``source_year_month`` column.
+    """B2. ``slice_value`` is the file's month as a literal (pushes down as a range), a
+    column, or its first moment and the next month's as two columns; by default the
+    ``source_year_month`` column.
 
     NaN sorts above every number in Spark, so it passes ``>= 0`` (S-2); ``not_nan``
     adds explicit NaN rules for the three measures (off by default, as in the
     original rule set).
     """
     ym = F.col("source_year_month") if slice_value is None else slice_value
+    t = F.col("pickup_datetime")
+    in_slice = (t >= ym[0]) & (t < ym[1]) if isinstance(ym, tuple) else in_month(t, ym)
     lo, hi = preset.zone_min_id, preset.zone_max_id
     nan_rules = tuple(Rule(f"{c}_not_nan", ~F.isnan(F.col(c))) for c in MEASURES) if not_nan else ()
     return RuleSet(required=TRIP_REQUIRED, rules=nan_rules + (
         Rule("dropoff_after_pickup", F.col("dropoff_datetime") > F.col("pickup_datetime")),
-        Rule("pickup_in_slice", in_month("pickup_datetime", ym)),
+        Rule("pickup_in_slice", in_slice),
         Rule("distance_non_negative", F.col("trip_distance") >= 0),
         Rule("fare_non_negative", F.col("fare_amount") >= 0),
         Rule("total_non_negative", F.col("total_amount") >= 0),

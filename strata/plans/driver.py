@@ -11,6 +11,7 @@ from strata.plans import mapping as M
 from strata.presets import DRIVER_PRESET
 from strata.session import scratch_path
 from strata.sinks import writers as W
+from strata.storage import modification_time
 
 PRESET = DRIVER_PRESET
 
@@ -59,7 +60,7 @@ def _input_version(spark: SparkSession, d: str) -> tuple | None:
     """(application, folder, modification times of the dictionary's sources), or None
     when they cannot be read, in which case the dictionary is simply rebuilt."""
     try:
-        times = [W.modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")]
+        times = [modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")]
         return (spark.sparkContext.applicationId, d.rstrip("/"), *times)
     except Exception:  # noqa: BLE001 - no file-system access through the session: no reuse
         return None

@@ -39,7 +39,11 @@ def pct(num: str, den: str, digits: int = 2) -> str:
     return R(f"CAST({num} AS DOUBLE) * CAST(100.0 AS DOUBLE) / NULLIF({den}, 0)", digits)
 
 
-MEASURE_SCALE = {"trip_distance_km": 3, "duration_min": 2, "tip_pct": 2, "avg_speed_mph": 2}
+MEASURE_SCALE = {"trip_distance_km": 3, "duration_min": 2, "tip_pct": 2, "avg_speed_mph": 2, "total_amount": 6}
+
+
+def total(expr: str) -> str:
+    return f"CAST(sum(CAST(round(({expr}) * 1000000) AS HUGEINT)) AS DOUBLE) / 1000000"
 
 
 def mean(expr: str, scale: int | None) -> str:
@@ -285,7 +289,7 @@ CLEAN = "NOT is_suspicious"
 
 
 def base_aggs() -> str:
-    return (f"CAST(count(*) AS BIGINT) AS trips, {R('sum(total_amount)', 2)} AS revenue, "
+    return (f"CAST(count(*) AS BIGINT) AS trips, {R(total('total_amount'), 2)} AS revenue, "
             f"{avg_where('total_amount', CLEAN)} AS avg_total_amount, "
             f"{avg_where('trip_distance_km', CLEAN)} AS avg_distance_km, "
             f"{avg_where('duration_min', CLEAN)} AS avg_duration_min, "
@@ -378,14 +382,14 @@ def oracle_sql() -> dict[str, str]:
                   AS rank_in_borough
               FROM (SELECT pu_borough, pu_zone, do_borough, do_zone, CAST(count(*) AS BIGINT) AS trips,
                       {avg_where("duration_min", None)} AS avg_duration_min,
-                      {R("avg(total_amount)", 2)} AS avg_total_amount,
-                      {R("sum(fare_amount) / NULLIF(sum(trip_distance), 0)", 2)} AS fare_per_mile
+                      {avg_where("total_amount", None)} AS avg_total_amount,
+                      {R(f"{total('fare_amount')} / NULLIF({total('trip_distance')}, 0)", 2)} AS fare_per_mile
                     FROM fact WHERE {CLEAN} GROUP BY pu_borough, pu_zone, do_borough, do_zone))
             WHERE rank_in_borough <= {DP.top_k}"""),
         "payment_mix": w(FACT, f"""SELECT *, {pct('trips', 'sum(trips) OVER (PARTITION BY pu_borough)')}
                 AS share_in_borough_pct
             FROM (SELECT pu_borough, payment_desc, CAST(count(*) AS BIGINT) AS trips,
-                    {R("sum(tip_amount)", 2)} AS total_tips, {avg_where('tip_pct', CLEAN)} AS avg_tip_pct
+                    {R(total("tip_amount"), 2)} AS total_tips, {avg_where('tip_pct', CLEAN)} AS avg_tip_pct
                   FROM fact GROUP BY pu_borough, payment_desc)"""),
         "period_compare": w(FACT, f"""SELECT * EXCLUDE (_prev),
                 {pct('trips - _prev', '_prev')} AS trips_change_pct,
@@ -395,8 +399,8 @@ def oracle_sql() -> dict[str, str]:
                     lag(trips) OVER (ORDER BY source_year_month) AS _prev
                   FROM (SELECT source_year_month, CAST(count(*) AS BIGINT) AS trips,
                           CAST(sum(CAST(has_cbd_fee AS INTEGER)) AS BIGINT) AS trips_with_cbd_fee,
-                          {R("sum(cbd_congestion_fee)", 2)} AS cbd_fee_revenue,
-                          {R("sum(total_amount)", 2)} AS revenue,
+                          {R(total("cbd_congestion_fee"), 2)} AS cbd_fee_revenue,
+                          {R(total("total_amount"), 2)} AS revenue,
                           {avg_where('total_amount', CLEAN)} AS avg_total_amount,
                           {avg_where('avg_speed_mph', f"{CLEAN} AND pu_borough = {sql_str(DP.focus_borough)}")}
                             AS avg_speed_manhattan_mph,

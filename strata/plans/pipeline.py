@@ -9,12 +9,14 @@ tables; the rows read are counted on the input, so a lost row shows.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
+from strata.functions.exprs import in_months
 from strata.operators import dims, facts, marts
 from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, with_audit
 from strata.operators.rules import code_rules, trip_rules, weather_rules, zone_rules
@@ -42,23 +44,32 @@ def ingest_trips(spark: SparkSession, params: JobParams, paths: Mapping[str, str
                  preset: Preset = P.TRIP_PRESET, data_source: str = "trip_parquet") -> dict[str, dict[str, int]]:
     """Monthly files -> bronze trips + quarantine, one write each for all requested slices.
 
-    Each file is normalised with its own footer and checked with its own month as a
-    literal, so the valid branch pushes the time range into its scan; the two outputs
-    are two filtered scans, nothing is cached. The rows read come from the files'
-    footers, not from the outputs. Absent columns are logged per file.
+    Files with one schema are one scan, and every row is checked against its own file's month. The valid
+    branch also has the group's first and last day as literals, which reach the scan as pushed filters. The two outputs
+    are two filtered scans, nothing is cached. The rows read are counted on the files, in one job for all of
+    them, not from the outputs. Absent columns are logged per file.
     """
     slices = params.slices
+    groups = R.read_deliveries(spark, {ym: paths[ym] for ym in slices}, SLICE, months=True)
+    absent = {f"yellow_trips_{ym}": {f"absent_column_{c}": 1 for c in g.missing(S.TRIP_DRIFT)} for g in groups for ym in g.slices}
+    if any(absent.values()):
+        M.append_many(spark, _t(params, "audit", "data_quality_log"), params.run_id, "bronze", absent)
     valid = invalid = None
-    read = {}
-    for ym in slices:
-        source = spark.read.parquet(paths[ym])
-        read[ym] = source.count()
-        absent = R.missing_columns(source, S.TRIP_DRIFT)
-        if absent:
-            _log(spark, params, "bronze", f"yellow_trips_{ym}", {f"absent_column_{c}": 1 for c in absent})
-        v, i = split_with_reasons(trip_rules(preset, ym), R.read_drifting(spark, {ym: paths[ym]}, S.TRIP_DRIFT, SLICE))
+    for g in groups:
+        v, i = split_with_reasons(trip_rules(preset, (F.col(R.SLICE_FROM), F.col(R.SLICE_TO))),
+                                  R.normalize(g.rows, S.TRIP_DRIFT, [SLICE, R.SLICE_FROM, R.SLICE_TO]))
+        v = v.filter(in_months("pickup_datetime", min(g.slices), max(g.slices)))
+        v, i = (x.drop(R.SLICE_FROM, R.SLICE_TO) for x in (v, i))
         valid, invalid = (v, i) if valid is None else (valid.unionByName(v), invalid.unionByName(i))
-    return write_trip_slices(spark, params, valid, invalid, slices, read, data_source)
+    return write_trip_slices(spark, params, valid, invalid, slices, rows_by_slice(groups), data_source)
+
+
+def rows_by_slice(groups: list[R.Deliveries]) -> dict[str, int]:
+    """Rows of the delivered files per slice: one job, which needs no column of the files."""
+    rows = None
+    for g in groups:
+        rows = g.rows.select(SLICE) if rows is None else rows.unionByName(g.rows.select(SLICE))
+    return {r[0]: r[1] for r in rows.groupBy(SLICE).count().collect()}
 
 
 def split_with_reasons(rules, df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -101,15 +112,19 @@ def _ingest_small(spark: SparkSession, params: JobParams, df: DataFrame, rules,
                   keys: list[str], data_source: str) -> dict[str, int]:
     """Shared shape of the small entities: split, quarantine, upsert, metrics.
 
-    These inputs are small by nature (zones, code dictionary, days), so the valid
-    count (taken before the key dedupe, S-17) is a plain count of the small file.
+    The rows read are observed on the scan, below the split, while the quarantine is written (the valid rows' own
+    filters still reach their scan), so a row that neither output has shows as a difference (D14). The valid rows are
+    counted before the key dedupe (S-17).
     """
-    valid, invalid = rules.split(df)
+    seen = Observation(f"read_{entity}_{uuid.uuid4().hex[:8]}")
+    _, invalid = rules.split(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     q = quarantine_rows(invalid, entity, params.run_id, reasons=rules.reasons(invalid))
-    stored_q = W.replace_slices(q, _t(params, "bronze", "quarantine"), "entity", [entity])[entity]
+    # no exchange between the scan and the writer: an empty stage would take the observation with it
+    stored_q = W.replace_slices(q, _t(params, "bronze", "quarantine"), "entity", [entity], rebalance=False)[entity]
+    valid, _ = rules.split(df)
     n_valid = valid.count()
     W.upsert(with_audit(valid, data_source, params.run_id), _t(params, "bronze", table), keys)
-    m = {"rows_read": n_valid + stored_q, "rows_valid": n_valid, "rows_quarantined": stored_q}
+    m = {"rows_read": int(seen.get["rows"]), "rows_valid": n_valid, "rows_quarantined": stored_q}
     _log(spark, params, "bronze", entity, m)
     return m
 
@@ -129,10 +144,9 @@ def ingest_codes(spark: SparkSession, params: JobParams, path: str):
 
 
 def weather_rows(spark: SparkSession, path: str) -> DataFrame:
-    """A4 + A5: landed weather documents -> one typed row per day."""
-    doc = R.read_document_json(spark, path)
-    rows = R.explode_parallel(doc, "daily", "time", S.WEATHER_VARS, "weather_date", S.WEATHER_TARGETS)
-    return rows.withColumn("_corrupt_record", F.lit(None).cast("string"))
+    """A4 + A5: landed weather documents -> one typed row per day, and one for a document that can't be read."""
+    doc = R.read_document_json(spark, path, S.WEATHER_DOCUMENT)
+    return R.explode_parallel(doc, "daily", "time", S.WEATHER_VARS, "weather_date", S.WEATHER_TARGETS)
 
 
 def ingest_weather(spark: SparkSession, params: JobParams, path: str):
@@ -152,13 +166,12 @@ def build_dims(spark: SparkSession, params: JobParams, preset: Preset = P.TRIP_P
     weather = T.read(spark, params.root, "bronze", "weather_daily")
     dd = dims.calendar_enriched(dims.calendar(spark, start, end), weather, preset.weather).withColumn("updated_ts", now)
     W.upsert(dd, _t(params, "silver", "dim_date"), ["date"])
-    dz = spark.read.parquet(_t(params, "silver", "dim_zone"))
-    dd2 = spark.read.parquet(_t(params, "silver", "dim_date"))
+    dz, dd2 = (T.read(spark, params.root, "silver", name) for name in ("dim_zone", "dim_date"))
     m = dz.agg(F.count("*").alias("dim_zone_rows"), F.count_if("is_unknown").alias("zones_unknown")).first().asDict()
     m.update(dd2.agg(F.count("*").alias("dim_date_rows"),
                      F.count_if(F.col("weather_condition") == P.WEATHER_NO_DATA).alias("days_without_weather"))
              .first().asDict())
-    m["dim_reference_rows"] = spark.read.parquet(_t(params, "silver", "dim_reference")).count()
+    m["dim_reference_rows"] = T.read(spark, params.root, "silver", "dim_reference").count()
     _log(spark, params, "silver", "dimensions", m)
     return m
 
@@ -168,11 +181,11 @@ def build_fact_stage(spark: SparkSession, params: JobParams, preset: Preset = P.
     """Bronze slices -> silver fact, slice replace, clustered by pickup zone; metrics in the same pass."""
     slices = params.slices
     bronze = T.read(spark, params.root, "bronze", "yellow_trips").filter(F.col(SLICE).isin(*slices))
-    zones = spark.read.parquet(_t(params, "silver", "dim_zone"))
-    codes = spark.read.parquet(_t(params, "silver", "dim_reference"))
-    fact = facts.build_fact(bronze, zones, codes, preset)
+    zones, codes = (T.read(spark, params.root, "silver", name) for name in ("dim_zone", "dim_reference"))
+    fact = facts.build_fact(bronze, zones, codes, preset, stored=True)
     if cluster:
-        fact = W.clustered(fact, [SLICE, "pu_location_id"], tiebreak="trip_id")
+        size = W.slice_bytes(spark, _t(params, "bronze", "yellow_trips"), SLICE, slices)
+        fact = W.clustered(fact, [SLICE, "pu_location_id"], tiebreak="trip_id", size=size)
     counters = [F.count_if(c).alias(c) for c in ("is_suspicious", "is_airport_trip", "has_cbd_fee",
                                                   *facts.FLAG_COLUMNS)]
     out_obs = Observation("fact_output")
@@ -193,10 +206,10 @@ def build_marts(spark: SparkSession, params: JobParams, preset: Preset = P.TRIP_
     """G1-G7 over every loaded slice from one scan of the fact (grouping sets, then a
     checkpointed small aggregate); stops on an empty fact instead of writing empty marts (J4)."""
     path = _t(params, "silver", "fact_trips")
-    fact = spark.read.parquet(path) if W.table_exists(spark, path) else None
+    fact = W.read_table(spark, path) if W.table_exists(spark, path) else None
     if fact is None or fact.limit(1).count() == 0:
         raise RuntimeError("silver fact_trips is empty: run the fact stage first")
-    dim_date = spark.read.parquet(_t(params, "silver", "dim_date"))
+    dim_date = T.read(spark, params.root, "silver", "dim_date")
     m = {}
     for name, df in marts.all_marts_one_pass(fact, dim_date, preset).items():
         obs = Observation(f"mart_{name}")
@@ -213,7 +226,7 @@ def export_marts(spark: SparkSession, params: JobParams, url: str, options: Mapp
     frames = {}
     for name in marts.MART_NAMES:
         p = _t(params, "gold", name)
-        frames[name] = spark.read.parquet(p) if W.table_exists(spark, p) else None
+        frames[name] = W.read_table(spark, p) if W.table_exists(spark, p) else None
     m = W.publish_jdbc(frames, url, options)
     _log(spark, params, "gold", "export", m)
     return m

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import avg_where, count_true, pct
+from strata.functions.exprs import count_true, pct
 from strata.operators import facts, marts
 from strata.operators.quality import quarantine_rows
 from strata.operators.rules import trip_rules
@@ -122,9 +122,9 @@ def code_dictionary_lookup(spark, d):
 def avg_where_q(spark, d):
     return D.fact(spark, d).groupBy("pu_borough").agg(
         F.count("*").alias("trips"),
-        avg_where("total_amount", marts.clean()).alias("avg_total_amount"),
+        marts.avg_of("total_amount").alias("avg_total_amount"),
         F.round(F.avg("total_amount"), 2).alias("avg_total_amount_all"),
-        avg_where("tip_pct", marts.clean(), 2, marts.MEASURE_SCALE["tip_pct"]).alias("avg_tip_pct"))
+        marts.avg_of("tip_pct").alias("avg_tip_pct"))
 
 
 def safe_pct(spark, d):

@@ -22,6 +22,7 @@ YELLOW_SERVICE_ZONE = "Yellow Zone"
 CODE_TYPES = ("vendor", "ratecode", "payment_type")
 AIRPORT_RATECODES = (2, 3)
 CARD_PAYMENT = 1
+KM_PER_MILE = 1.60934
 WEATHER_SNOW, WEATHER_HEAVY_RAIN, WEATHER_RAIN, WEATHER_DRY, WEATHER_NO_DATA = (
     "nieve", "lluvia fuerte", "lluvia", "seco", "sin dato")
 PERIOD_WITH, PERIOD_WITHOUT = "con cobro", "sin cobro"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 
 from strata.session import table_path
-from strata.sinks.writers import table_exists
+from strata.sinks.writers import read_table, table_exists
 from strata.sources.schemas import CODE_SCHEMA, TRIP_SCHEMA, WEATHER_SCHEMA, ZONE_SCHEMA
 
 
@@ -69,6 +69,5 @@ def read(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     no data file to infer from) still has its schema.
     """
     contract = CONTRACTS.get((layer, name))
-    reader = spark.read.schema(contract[0]) if contract else spark.read
-    return reader.parquet(table_path(root, layer, name))
+    return read_table(spark, table_path(root, layer, name), contract[0] if contract else None)
 

@@ -7,76 +7,100 @@
   the write, and only if the write has reported which slices it wrote. Rows
   outside the requested slices stop the job (``raise_error``) instead of silently
   landing in another slice. A killed run can be repeated as it is.
-* ``upsert``: keyed merge that never deletes: target rows whose key is absent
-  from the source, plus the de-duplicated source, written beside the table and
-  swapped in. The two renames have fixed names, so every later access finds and
-  finishes (or undoes) a swap that was cut off (``recover``).
-* ``overwrite``, ``clustered`` (range-partitioned, sorted files: each file
-  covers a narrow key range, so min/max statistics prune on that key), and
-  ``publish_jdbc``.
+* ``upsert``: keyed merge that never deletes. A table is kept as hash buckets of its
+  key (or as partitions); the source is staged once, only the buckets that it touches are
+  read, and only their files are replaced. A manifest names the files to take out and to
+  put in, so a commit that was cut off is finished by the next access (``recover``).
+* ``overwrite``: the new table is staged beside the old one and swapped in by two renames
+  with fixed names; a swap that was cut off is undone or tidied up by the next access.
+* ``clustered``: range-partitioned, sorted files: each file covers a narrow key range, so
+  min/max statistics prune on that key. ``publish_jdbc`` exports.
+
+A table has one writer at a time. Readers go through ``read_table``, which recovers first.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators.facts import dedupe
+from strata.session import scratch_path
+from strata.storage import (entries, hadoop_path, make_dirs, path_exists, remove_path, rename_path, stored_bytes,
+                            write_text)
 
 
-def _jfs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _jfs(spark, path)
-    return bool(fs.exists(p))
-
+def _beside(path: str) -> tuple[str, str, str]:
+    """Where a writer stages new data, keeps what it takes out, and puts a commit's manifest."""
+    base = path.rstrip("/")
+    return f"{base}.__staged", f"{base}.__old", f"{base}.__commit"
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    fs, p = _jfs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
 
+def _move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename unless it is done already."""
+    if path_exists(spark, src):
+        rename_path(spark, src, dst)
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> None:
-    fs, p = _jfs(spark, src)
-    _, q = _jfs(spark, dst)
-    if not fs.rename(p, q):
-        raise OSError(f"rename failed: {src} -> {dst}")
 
+def _commit(spark: SparkSession, path: str, adds: Mapping[str, str], removes: Iterable[str]) -> None:
+    """Replace entries of the table at ``path``: ``removes`` go, ``adds`` (place in the staged folder -> name) come.
 
-def modification_time(spark: SparkSession, path: str) -> int:
-    """Modification time (ms) of a file or folder, through the Hadoop file system API."""
-    fs, p = _jfs(spark, path)
-    return int(fs.getFileStatus(p).getModificationTime())
+    The manifest appears by a rename when everything is staged. From then on the commit is finished by
+    ``recover`` wherever it stops; before that, the table is as it was.
+    """
+    _, _, manifest = _beside(path)
+    write_text(spark, f"{manifest}.part", json.dumps({"adds": dict(adds), "removes": sorted(removes)}))
+    rename_path(spark, f"{manifest}.part", manifest)
+    recover(spark, path)
 
 
-def _beside(path: str) -> tuple[str, str]:
-    """Where an upsert stages the new table and keeps the old one."""
-    base = path.rstrip("/")
-    return f"{base}.__staged", f"{base}.__old"
+def _finish_commit(spark: SparkSession, path: str) -> None:
+    """Carry out a manifest. Every step may have been done before; nothing is taken out twice."""
+    staged, old, manifest = _beside(path)
+    todo = json.loads(spark.read.text(manifest, wholetext=True).first()[0])
+    make_dirs(spark, path)
+    make_dirs(spark, old)
+    gone = entries(spark, old)
+    for name in todo["removes"]:
+        if name not in gone:  # what has that name now may be the new entry
+            _move(spark, f"{path}/{name}", f"{old}/{name}")
+    for place, name in todo["adds"].items():
+        _move(spark, f"{staged}/{place}", f"{path}/{name}")
+    remove_path(spark, manifest)  # the commit is done; what follows is tidying
+    remove_path(spark, old)
+    remove_path(spark, staged)
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish or undo an upsert's swap that was cut off: without a table the old one comes back."""
-    _, old = _beside(path)
-    if path_exists(spark, old):
+    """Finish a commit, or finish or undo a swap, that was cut off."""
+    path = path.rstrip("/")
+    _, old, manifest = _beside(path)
+    if path_exists(spark, manifest):
+        _finish_commit(spark, path)
+    elif path_exists(spark, old):
         if path_exists(spark, path):
             remove_path(spark, old)
         else:
             rename_path(spark, old, path)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table at ``path``, after finishing or undoing a write that was cut off."""
+    recover(spark, path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True if the folder holds data (files or partitions), whether or not a success marker is there."""
     recover(spark, path)
-    fs, p = _jfs(spark, path)
+    fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return False
     names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -136,54 +160,128 @@ def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
 
 
 def _whole_rows(src: DataFrame, target: DataFrame, path: str) -> DataFrame:
-    """The source in the target's columns; a merge must not blank or invent columns."""
+    """The source in the target's columns and types; a merge must not blank or invent columns."""
     missing, extra = set(target.columns) - set(src.columns), set(src.columns) - set(target.columns)
     if missing or extra:
         raise ValueError(f"upsert into {path}: missing columns {sorted(missing)}, unknown columns {sorted(extra)}")
-    return src.select(*target.columns)
+    return src.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+
+
+_BUCKET_FILE = re.compile(r"b(\d+)-of-(\d+)-.*\.parquet")
+#: A table is dealt into more buckets when they hold this many times the advisory size on average.
+_CROWDED = 4
+
+
+def bucket_count(names: Iterable[str]) -> int | None:
+    """Number of buckets that a table's file names tell, or None for a table that is not in buckets."""
+    found = [_BUCKET_FILE.fullmatch(n) for n in names]
+    counts = {int(m[2]) for m in found if m}
+    return counts.pop() if found and all(found) and len(counts) == 1 else None
+
+
+def bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.hash(*keys), F.lit(buckets))
+
+
+def _staged_files(spark: SparkSession, staged: str) -> list[tuple[int, str]]:
+    """(bucket, place under the staged folder) of every file, from one recursive listing."""
+    fs, p = hadoop_path(spark, staged)
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next().getPath()
+        if f.getName().endswith(".parquet"):
+            folder = f.getParent().getName()
+            found.append((int(folder.removeprefix("_bucket=")), f"{folder}/{f.getName()}"))
+    return sorted(found)
+
 
+def _merged(target: DataFrame | None, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    if target is None:
+        return src
+    return target.join(src.select(*keys), list(keys), "left_anti").select(*src.columns).unionByName(src)
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_col: str | None = None) -> None:
+
+def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_col: str | None = None,
+           buckets: int | None = None) -> dict[str, int]:
     """Keyed upsert (K3): matched keys take the source row, new keys are inserted, nothing is deleted.
 
-    The source must have exactly the target's columns. With ``partition_col``
-    (which the key must determine, e.g. a date's month; never NULL) the target is
-    partitioned and only the partitions the source touches are read and rewritten,
-    through the dynamic overwrite of ``replace_slices``; the rest of the table is
-    not read at all. The touched values (at most the number of partitions) are
-    fetched with one small distinct query.
+    The source must have exactly the target's columns; its values take the target's types. It is de-duplicated
+    and staged once. The table's files are hash buckets of the key, named ``b<bucket>-of-<count>-...``: only those that
+    the source touches are read, merged and replaced, the others keep their files. ``buckets`` is the count for a
+    new table (by default one for each advisory size of the source); a table whose buckets have grown to
+    ``_CROWDED`` times that size, or that isn't in buckets yet, is dealt anew in the same commit. With
+    ``partition_col`` (which the key must determine, e.g. a date's month; never NULL) the parts are the
+    partitions instead. Either way a commit that is cut off leaves the old table or is finished later.
+    Returns the number of parts ``touched`` and ``kept``.
     """
     spark = df.sparkSession
-    src = dedupe(df, keys)
+    path = path.rstrip("/")
     exists = table_exists(spark, path)
-    if partition_col is not None:
-        values = [r[0] for r in src.select(partition_col).distinct().collect()]
-        if None in values:
-            raise ValueError(f"upsert into {path}: NULL in the partition column {partition_col}")
-        touched = sorted(values)
-        if exists:
-            table = spark.read.parquet(path)
-            target = table.filter(F.col(partition_col).isin(*touched))
-            src = _whole_rows(src, table, path)
-            src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
-        replace_slices(src, path, partition_col, touched)
-        return
-    staged, old = _beside(path)
+    names = entries(spark, path) if exists else {}
+    table = spark.read.parquet(path) if exists else None
+    source = dedupe(_whole_rows(df, table, path) if exists else df, keys)
+    staged_source = scratch_path(spark, "upsert_source")
+    source.write.parquet(staged_source)
+    src = spark.read.schema(source.schema).parquet(staged_source)
+    staged, *_ = _beside(path)
     remove_path(spark, staged)
-    if exists:
-        target = spark.read.parquet(path)
-        src = _whole_rows(src, target, path)
-        src = target.join(src.select(*keys), list(keys), "left_anti").unionByName(src)
-    src.write.mode("errorifexists").parquet(staged)
-    if path_exists(spark, path):
-        rename_path(spark, path, old)
-    rename_path(spark, staged, path)
-    remove_path(spark, old)
+    try:
+        if partition_col is not None:
+            values = {r[0] for r in src.select(partition_col).distinct().collect()}  # at most one a partition
+            if None in values:
+                raise ValueError(f"upsert into {path}: NULL in the partition column {partition_col}")
+            if values or not exists:
+                old = table.filter(F.col(partition_col).isin(*values)) if exists else None
+                _merged(old, src, keys).hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(staged)
+            parts = entries(spark, staged)
+            _commit(spark, path, {n: n for n in parts}, set(parts) & set(names))
+            if not parts and not exists:
+                src.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+            return {"touched": len(parts), "kept": len(set(names) - set(parts))}
+        n, stored = bucket_count(names), sum(names.values())
+        advisory = advisory_bytes(spark)
+        deal = n is None or stored > _CROWDED * n * advisory
+        if deal:
+            n = buckets or max(1, -(-2 * (stored + sum(entries(spark, staged_source).values())) // advisory))
+        touched = set(range(n)) if deal else {r[0] for r in src.select(bucket_of(keys, n)).distinct().collect()}
+        held = {name: int(m[1]) for name in names if (m := _BUCKET_FILE.fullmatch(name))}
+        removes = {name for name in names if deal or held[name] in touched}
+        files = [f"{path}/{name}" for name in sorted(removes)]
+        old = table if deal else spark.read.schema(table.schema).parquet(*files) if files else None
+        (_merged(old, src, keys).withColumn("_bucket", bucket_of(keys, n)).hint("rebalance", "_bucket")
+         .write.partitionBy("_bucket").parquet(staged))
+        files = _staged_files(spark, staged)
+        tag = uuid.uuid4().hex[:12]
+        adds = {place: f"b{k:05d}-of-{n:05d}-{tag}-{i:05d}.parquet" for i, (k, place) in enumerate(files)}
+        if adds:
+            _commit(spark, path, adds, removes)
+        elif not exists:
+            src.write.mode("overwrite").parquet(path)  # an empty table still has its columns
+        else:
+            remove_path(spark, staged)
+        return {"touched": len({k for k, _ in files}), "kept": len(set(held.values()) - touched)}
+    finally:
+        remove_path(spark, staged_source)
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Stored size of the files that ``df`` reads."""
-    return sum(int(fs.getFileStatus(p).getLen()) for fs, p in (_jfs(df.sparkSession, f) for f in df.inputFiles()))
+    """Stored size of the files of the tables that ``df`` reads, from one listing of each folder.
+
+    It counts whole tables: Spark names the files before partitions are pruned. Who knows the slices that are
+    read takes ``slice_bytes``.
+    """
+    spark = df.sparkSession
+    by_folder: dict[str, set[str]] = {}
+    for f in df.inputFiles():
+        folder, _, name = f.rpartition("/")
+        by_folder.setdefault(folder, set()).add(unquote(name))
+    return sum(size for folder, names in by_folder.items()
+               for name, size in entries(spark, unquote(folder)).items() if name in names)
+
+
+def slice_bytes(spark: SparkSession, path: str, col: str, slices: Sequence[str]) -> int:
+    """Stored size of the given slices only: one summary a slice folder."""
+    return sum(stored_bytes(spark, _slice_dir(path, col, s)) for s in dict.fromkeys(slices))
 
 
 def advisory_bytes(spark: SparkSession) -> int:
@@ -192,12 +290,26 @@ def advisory_bytes(spark: SparkSession) -> int:
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Full replacement with the frame's schema (K4). ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Full replacement with the frame's schema (K4).
+
+    The new table is written beside the old one and swapped in by two renames. A job that stops leaves the old or the
+    new table, never none: until the first rename the old one is in place, between the two ``recover`` brings it back, and
+    after the second the new one is there. ``df`` may read ``path``.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    recover(spark, path)
+    staged, old, _ = _beside(path)
+    remove_path(spark, staged)
+    df.write.parquet(staged)
+    if path_exists(spark, path):
+        rename_path(spark, path, old)
+    rename_path(spark, staged, path)
+    remove_path(spark, old)
 
 
 def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None = None,
-              tiebreak: str | None = None) -> DataFrame:
+              tiebreak: str | None = None, size: int | None = None) -> DataFrame:
     """Range-partition on ``keys`` and sort within files (F2).
 
     With the slice column first, each task covers a contiguous run of
@@ -206,11 +318,13 @@ def clustered(df: DataFrame, keys: str | Sequence[str], partitions: int | None =
     a hot value (one zone with a third of a month's trips) would land in a single
     task; ``tiebreak`` (a high-cardinality column such as the row id) extends the
     range key so such a value is cut across several tasks and files. The number of
-    partitions follows the bytes read and the advisory partition size.
+    partitions follows the bytes read (``size``, by default all of the input tables) and the
+    advisory partition size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
-    n = partitions or max(-(-input_bytes(df) // advisory_bytes(spark)), spark.sparkContext.defaultParallelism)
+    size = input_bytes(df) if partitions is None and size is None else size
+    n = partitions or max(-(-size // advisory_bytes(spark)), spark.sparkContext.defaultParallelism)
     range_keys = keys + ([tiebreak] if tiebreak else [])
     return df.repartitionByRange(n, *[F.col(k) for k in range_keys]).sortWithinPartitions(*keys)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import (DataType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (ArrayType, DataType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 
@@ -51,6 +51,7 @@ TRIP_SCHEMA = _fields(
 TRIP_COLUMNS = TRIP_SCHEMA.fieldNames()
 TRIP_DRIFT = DriftSpec(TRIP_SCHEMA, TRIP_RENAME)
 
+# Columns of the zone master and of the code dictionary.
 ZONE_SCHEMA = _fields(("location_id", IntegerType()), ("borough", StringType()),
                       ("zone", StringType()), ("service_zone", StringType()))
 ZONE_DRIFT = DriftSpec(ZONE_SCHEMA, {"locationid": "location_id", "borough": "borough", "zone": "zone",
@@ -64,3 +65,6 @@ WEATHER_VARS = ["temperature_2m_max", "temperature_2m_min", "precipitation_sum",
 WEATHER_TARGETS = ["temperature_max_c", "temperature_min_c", "precipitation_mm", "snowfall_cm",
                    "wind_speed_max_kmh"]
 WEATHER_SCHEMA = _fields(("weather_date", DateType()), *[(t, DoubleType()) for t in WEATHER_TARGETS])
+# Shape of a weather document: what is read of it; whatever else it has is left alone.
+WEATHER_DOCUMENT = _fields(("daily", _fields(("time", ArrayType(StringType())),
+                                             *[(v, ArrayType(DoubleType())) for v in WEATHER_VARS])))
