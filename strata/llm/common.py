@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,39 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if its rows can be numbered as they are read, else a stored copy (see ``numbered``)."""
+    try:
+        docs.select(docs.metadataColumn("_metadata").getField("row_index"))
+        return docs
+    except AnalysisException:
+        return keep(docs, "rows")
+
+
+def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
+    """``docs`` with a unique long per row that is the same on every read.
+
+    The number is the row's place in its file and the file's place in the sorted list of files. It doesn't depend on how
+    Spark packs files into partitions, which moves with the number of cores when executors come and go. A frame
+    that isn't a scan of Parquet files (with filters and projections) is stored first. The lookup of files is as long
+    as the listing that the scan keeps on the driver anyway, and broadcast within ``BROADCAST_ROWS``.
+    """
+    spark = docs.sparkSession
+    plain = lambda c: F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+    docs = stored(docs)
+    at = docs.metadataColumn("_metadata")
+    placed = docs.select("*", plain(at.getField("file_path")).alias("__file"), at.getField("row_index").alias("__at"))
+    files = sorted(docs.inputFiles())
+    if not files:
+        return docs.withColumn(name, F.lit(None).cast("long"))
+    lookup = spark.createDataFrame([(f, k << 40) for k, f in enumerate(files)], "__f string, __base long").withColumn("__f", plain(F.col("__f")))
+    if len(files) <= BROADCAST_ROWS:
+        lookup = F.broadcast(lookup)
+    known = F.coalesce("__base", F.raise_error(F.concat(F.lit("unknown file "), F.col("__file"))))
+    return (placed.join(lookup, F.col("__file") == F.col("__f"), "left").withColumn(name, known + F.col("__at"))
+            .drop("__file", "__at", "__f", "__base"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Final 64-bit mixing, so that any bits of a hash can be used."""
     x = x.astype(np.uint64, copy=True)

@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, checkpointed, keep
+from strata.llm.common import broadcast_if_small, checkpointed, keep, numbered, stored
 
 WINDOW = 13
 #: A document is contaminated when this many times its hit words are at least its words.
@@ -54,7 +54,7 @@ def postings(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Stored ``row``, ``doc_id``, ``n_words``, ``pos``, ``term_id`` for benchmark terms, and one row with the
     first position (or a null one) for every document."""
     vocabulary = broadcast_if_small(checkpointed(items.select("term", "term_id").distinct()))
-    split = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    split = numbered(docs.select("doc_id", "text")).select("row", "doc_id", words(F.col("text")).alias("w"))
     spread = split.select("row", "doc_id", F.size("w").alias("n_words"), F.posexplode_outer("w").alias("pos", "word"))
     found = spread.select("row", "doc_id", "n_words", "pos", term(F.col("word")).alias("term")).join(
         vocabulary, "term", "left")
@@ -134,7 +134,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` (a stored table) without contaminated rows."""
+    """``docs`` without contaminated rows."""
+    docs = stored(docs)
     bad = checkpointed(contamination(docs, benchmark).filter("contaminated").select(F.col("row").alias("__bad")))
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = numbered(docs, "__row")
     return rows.join(broadcast_if_small(bad), F.col("__row") == F.col("__bad"), "left_anti").drop("__row")

@@ -3,15 +3,15 @@
 Standard-library parser events become lines: one a block element, with its text and the number of tags met in it.
 The ratio of characters to tags of each line is smoothed with a Gaussian over neighbouring lines; lines at or
 above the threshold (the standard deviation of the smoothed ratios) cluster into content. The content region is
-the smallest element that holds all the clustered text, and all its blocks are returned, short ones too. Where
-``article`` and ``main`` elements hold most of the clustered text, it is what holds all of their part: the smallest
-element inside one of them, or else all of them. Elements that are never content are left out wherever they stand:
+the smallest element that holds all the clustered text, inside or outside of ``article`` and ``main``, and all its
+blocks are returned, short ones too. Elements that are never content are left out wherever they stand:
 menus, headers (but for headings in an article), footers, sidebars, scripts, styles, and elements whose role names
 them as navigation or the like. So are forms, and elements whose class or id names them as adverts, notices, comments
 or the like, unless one holds most of the page's text and no ``article`` or ``main`` has text outside it.
 
 White space inside a block (line breaks too) becomes one space; blocks are trimmed and joined by one line feed;
-character references are decoded. Unclosed and unmatched tags are accepted. A null or empty page, one without
+character references are decoded. Unclosed and unmatched tags are accepted, a marked section that HTML doesn't know is a
+comment, and the work grows with a page's length however deep its tags are nested. A null or empty page, one without
 text and one without tags that is blank have an empty text; a page without any block is one block. Repeated rows
 give equal rows. Other columns pass through ``main_text_column``. An empty table gives an empty result.
 """
@@ -19,6 +19,7 @@ give equal rows. Other columns pass through ``main_text_column``. An empty table
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -53,6 +54,9 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int]] = []  # name and number of the element
+        self.open: Counter[str] = Counter()  # open elements by name
+        self.blocks: list[int] = []  # places in the stack of those that aren't inline
+        self.stories: list[int] = []  # numbers of the open article and main elements
         self.elements: list[tuple[str, int, bool, bool, int]] = []
         self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
@@ -65,6 +69,22 @@ class Lines(HTMLParser):
             self.tags = 0
         self.parts = []
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # a keyword that the parser doesn't know
+            return self.parse_bogus_comment(i)
+
+    def cut(self, k: int) -> None:
+        """Close the elements from place ``k`` of the stack on."""
+        for name, _ in self.stack[k:]:
+            self.open[name] -= 1
+            if name in ("article", "main"):
+                self.stories.pop()
+        while self.blocks and self.blocks[-1] >= k:
+            self.blocks.pop()
+        del self.stack[k:]
+
     def never(self, tag: str, attrs) -> bool:
         if tag in NEVER:
             return True
@@ -126,17 +146,18 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        for k in range(len(self.stack) - 1, -1, -1):  # an element that this one closes, inside the same block
-            if self.stack[k][0] in _CLOSES.get(tag, ()):
-                del self.stack[k:]
-                break
-            if self.stack[k][0] not in INLINE:
-                break
+        if self.blocks and self.stack[self.blocks[-1]][0] in _CLOSES.get(tag, ()):  # the block that this one closes
+            self.cut(self.blocks[-1])
         up = self.stack[-1] if self.stack else ("", -1)
         decides = -1
         if _HEADING.match(tag) and up[0] == "header":
-            decides = next((n for name, n in reversed(self.stack) if name in ("article", "main")), -1)
+            decides = self.stories[-1] if self.stories else -1
         self.elements.append((tag, up[1], self.never(tag, attrs), self.named(tag, attrs), decides))
+        if tag in ("article", "main"):
+            self.stories.append(len(self.elements) - 1)
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.open[tag] += 1
         self.stack.append((tag, len(self.elements) - 1))
 
     def handle_startendtag(self, tag, attrs):
@@ -150,10 +171,11 @@ class Lines(HTMLParser):
         elif tag in ("td", "th"):
             self.parts.append(" ")
         self.tags += 1
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                break
+        if self.open[tag]:
+            k = len(self.stack) - 1
+            while self.stack[k][0] != tag:
+                k -= 1
+            self.cut(k)
 
     def handle_data(self, data):
         if not (self.stack and self.stack[-1][0] in ("script", "style", "noscript", "template")):
@@ -185,14 +207,6 @@ def main_text(html) -> str:
     ratio[may] = [len(lines[k][0]) / max(1, lines[k][1]) for k in may]
     level = smoothed(ratio)
     chosen = [k for k in may if level[k] >= level.std()] or may
-    story = [False] * len(names)  # inside an article or main element
-    for e, name in enumerate(names):
-        story[e] = name in ("article", "main") or (up[e] >= 0 and story[up[e]])
-    told = [k for k in chosen if lines[k][2] >= 0 and story[lines[k][2]]]
-    if sum(len(lines[k][0]) for k in told) >= MOST * sum(len(lines[k][0]) for k in chosen):
-        chosen = told
-    else:
-        told = []
     # chosen lines by element; the smallest element with all of them is the region
     count = [0] * len(names)
     for k in chosen:
@@ -203,8 +217,6 @@ def main_text(html) -> str:
             count[up[e]] += count[e]
     region = max((e for e, n in enumerate(count) if n == len(chosen) and names[e] not in INLINE
                   and names[e] not in _CLOSES and not _HEADING.match(names[e])), default=-1)
-    if told and (region < 0 or not story[region]):
-        return "\n".join(lines[k][0] for k in may if lines[k][2] >= 0 and story[lines[k][2]])
     inside = [False] * len(names)
     for e in range(len(names)):
         inside[e] = e == region or (up[e] >= 0 and inside[up[e]])
