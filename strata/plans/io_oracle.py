@@ -117,6 +117,18 @@ slice_counts AS (
               CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN o_orderpriority END AS priority,
               CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN 'A' ELSE 'B' END AS delivery
             FROM orders""",
+        "delivery_groups": f"""WITH o AS (SELECT *, coalesce(strftime(o_orderdate, '%Y-%m'), 'none') AS delivery,
+              coalesce(year(o_orderdate) % 2 = 1, FALSE) AS odd FROM orders)
+            SELECT delivery, count(*) AS orders,
+              {O.R("CAST(sum(CAST(round(o_totalprice * 100) AS HUGEINT)) AS DOUBLE) / 100", 2)} AS total_price,
+              (SELECT CAST(count(DISTINCT odd) AS INTEGER) FROM o) AS scans
+            FROM o GROUP BY delivery""",
+        "bucketed_upsert": """SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_custkey % 1000 = 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal, c_mktsegment, FALSE AS stale
+            FROM customer WHERE c_custkey IS NOT NULL
+            UNION ALL SELECT c_custkey + 1, c_name, c_nationkey, c_acctbal, c_mktsegment, FALSE
+            FROM customer WHERE c_custkey = (SELECT max(c_custkey) FROM customer)""",
+        "skipped_files": O.w(O.FACT, "SELECT pu_location_id, count(*) AS trips FROM fact GROUP BY pu_location_id"),
         "parallel_arrays_to_rows": O.w(O.WEATHER, "SELECT * FROM weather"),
         "slice_scan": f"""SELECT *, strftime(o_orderdate, '%Y-%m') AS source_year_month FROM orders
             WHERE strftime(o_orderdate, '%Y-%m') IN ({_in(run)})""",

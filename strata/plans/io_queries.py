@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, TimestampNTZType
 
+from strata.functions.exprs import total
 from strata.operators.rules import trip_rules
 from strata.params import JobParams, parse_slices
 from strata.plans import driver as D
@@ -21,6 +22,7 @@ from strata.sinks import writers as W
 from strata.sources import readers as R
 from strata.sources import schemas as S
 from strata.sources.schemas import DriftSpec, _fields
+from strata.storage import entries
 
 # Slices requested by the slice-scan and slice-replace queries (a three-month run).
 RUN_SLICES = "1998-12,1999-01,1999-02"
@@ -51,6 +53,33 @@ def drift_normalize(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*ORDER_DRIFT.schema.fieldNames(), "delivery")
 
 
+def delivery_groups(spark: SparkSession, d: str) -> DataFrame:
+    """A3 + A8: orders landed as one file a month, those of odd years with a drifted schema, read in one scan a
+    schema; rows and total per delivery, and how many scans there were."""
+    od = M.table(spark, d, "orders")
+    base = scratch_path(spark, "deliveries")
+    month = F.coalesce(F.date_format("o_orderdate", "yyyy-MM"), F.lit("none"))
+    odd = F.coalesce(F.year("o_orderdate") % 2 == 1, F.lit(False))
+    early = od.filter(~odd).withColumn("m", month)
+    late = od.filter(odd).withColumn("m", month).drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("double"))
+    paths = {}
+    for name, rows in (("even", early), ("odd", late)):
+        rows.repartition("m").write.partitionBy("m").parquet(f"{base}/{name}")
+        for folder in entries(spark, f"{base}/{name}"):
+            files = [f"{base}/{name}/{folder}/{f}" for f in entries(spark, f"{base}/{name}/{folder}")]
+            paths[folder.removeprefix("m=")] = files[0] if len(files) == 1 else f"{base}/{name}/{folder}"
+    groups = R.read_deliveries(spark, paths, "delivery") if paths else []
+    if not groups:
+        return spark.createDataFrame([], "delivery string, orders long, total_price double, scans int")
+    rows = None
+    for g in groups:
+        part = R.normalize(g.rows, ORDER_DRIFT, ["delivery"])
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("delivery").agg(
+        F.count(F.lit(1)).alias("orders"), F.round(total("total_price", 2), 2).alias("total_price")).withColumn(
+        "scans", F.lit(len(groups)))
+
+
 def parallel_arrays_to_rows(spark: SparkSession, d: str) -> DataFrame:
     """A4 + A5: daily measures landed as one JSON document per month of parallel
     arrays (the shape of a weather API answer), read back and exploded to rows.
@@ -122,6 +151,37 @@ def upsert(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select(*cu.columns)
 
 
+def bucketed_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """K3: customers in 16 buckets; a batch of one customer in a thousand and a new one is merged, and the table
+    tells how many buckets kept their files (the others hold a key of the batch)."""
+    cu = M.table(spark, d, "customer")
+    path = scratch_path(spark, "bucketed")
+    W.upsert(cu, path, ["c_custkey"], buckets=16)
+    before = set(entries(spark, path))
+    last = cu.agg(F.max("c_custkey").alias("k"))
+    batch = cu.filter(F.col("c_custkey") % 1000 == 0).withColumn("c_acctbal", F.lit(0.0))
+    new = cu.join(last, cu.c_custkey == last.k).drop("k").withColumn("c_custkey", F.col("c_custkey") + 1)
+    W.upsert(batch.unionByName(new), path, ["c_custkey"])
+    kept = sorted(before & set(entries(spark, path)))
+    lies = W.bucket_of(["c_custkey"], 16)
+    hit = W.read_table(spark, path).filter("c_acctbal = 0 and c_custkey % 1000 = 0").select(lies.alias("b")).distinct()
+    rows = W.read_table(spark, path).withColumn("file", F.col("_metadata.file_name")).withColumn("b", lies)
+    told = rows.join(hit.withColumn("hit", F.lit(True)), "b", "left")
+    stays = F.col("file").isin(kept) if kept else F.lit(False)
+    return told.withColumn("stale", F.coalesce("hit", F.lit(False)) & stays).select(*cu.columns, "stale")
+
+
+def skipped_files(spark: SparkSession, d: str) -> DataFrame:
+    """F2 + G15: the fact clustered by pickup zone; per zone its trips, counted in only those files whose key range
+    holds the zone."""
+    path = scratch_path(spark, "fact_ranges")
+    W.clustered(D.fact(spark, d), "pu_location_id", tiebreak="trip_id").write.parquet(path)
+    rows = spark.read.parquet(path).select("pu_location_id", F.col("_metadata.file_name").alias("file"))
+    ranges = rows.groupBy("file").agg(F.min("pu_location_id").alias("a"), F.max("pu_location_id").alias("z"))
+    holds = ranges.select("file", F.explode(F.sequence("a", "z")).alias("pu_location_id"))  # zones are 265 at most
+    return rows.join(holds, ["file", "pu_location_id"]).groupBy("pu_location_id").agg(F.count(F.lit(1)).alias("trips"))
+
+
 def clustered_layout(spark: SparkSession, d: str) -> DataFrame:
     """the fact written range-partitioned and sorted on the pickup zone, read back."""
     path = scratch_path(spark, "fact_clustered")
@@ -148,10 +208,13 @@ def load_metrics(spark: SparkSession, d: str) -> DataFrame:
 def registry():
     return {
         "drift_normalize": drift_normalize,
+        "delivery_groups": delivery_groups,
         "parallel_arrays_to_rows": parallel_arrays_to_rows,
         "slice_scan": slice_scan,
         "replace_slices": replace_slices,
         "upsert": upsert,
+        "bucketed_upsert": bucketed_upsert,
+        "skipped_files": skipped_files,
         "clustered_layout": clustered_layout,
         "load_metrics": load_metrics,
     }
