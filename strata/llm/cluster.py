@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import broadcast_if_small, checkpointed, keep, needed
 
 BLOCK = 512
-#: Rows of one call of the verification: it takes many small clusters together.
-BATCH = 1000
+#: Rows of one call of the verification, or bytes of items: it takes many small clusters together.
+BATCH, AT_ONCE = 1000, 1 << 19
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -89,15 +89,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def links_of_cluster(node: np.ndarray, side: np.ndarray, need: np.ndarray, sets: list, prefixes: list,
-                     percent: int) -> list[tuple[int, int]]:
+                     percent: int, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links of one cluster (or of two of its blocks) that join components: side 0 against itself and side 1.
 
-    Two similar sets share at least the smaller of their ``need`` values among their prefixes; only such pairs, of
-    sizes that allow the similarity, are compared exactly (100 * shared >= percent * union). Pairs that links
-    found before already join are passed over.
+    Two similar sets (sorted arrays) share at least the smaller of their ``need`` values among their prefixes; only such
+    pairs, of sizes that allow the similarity, are compared exactly (100 * shared >= percent * union). Pairs that
+    links found before already join are passed over, and so are those with the same ``known`` component.
     """
     size = np.array([len(t) for t in sets])
     parent = list(range(len(node)))
+    if known is not None:
+        _, leader, which = np.unique(known, return_index=True, return_inverse=True)
+        parent = leader[which].tolist()
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -106,16 +109,13 @@ def links_of_cluster(node: np.ndarray, side: np.ndarray, need: np.ndarray, sets:
         return x
 
     out = []
-    as_sets: dict[int, set] = {}
 
     def compare(i: int, j: int) -> None:
         a, b = root(i), root(j)
         if a == b:
             return
-        for k in (i, j):
-            if k not in as_sets:
-                as_sets[k] = set(sets[k].tolist())
-        both = len(as_sets[i] & as_sets[j])
+        few, many = (sets[i], sets[j]) if size[i] <= size[j] else (sets[j], sets[i])
+        both = int(np.count_nonzero(many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few)) if len(few) else 0
         if 100 * both >= percent * (int(size[i]) + int(size[j]) - both):
             parent[max(a, b)] = min(a, b)
             out.append((int(node[i]), int(node[j])))
@@ -147,45 +147,118 @@ def links_of_cluster(node: np.ndarray, side: np.ndarray, need: np.ndarray, sets:
 
 
 def _link(tasks: DataFrame, keys: list[str], percent: int, unpacked: Callable, rows: int) -> DataFrame:
-    """Links of all tasks (rows of equal ``keys``): ``node``, ``side``, ``item`` (bytes) and ``need``, where
-    ``unpacked(item, need)`` gives the distinct hashes of the set and of its prefix."""
+    """Links of all tasks (rows of equal ``keys``): ``node``, ``side``, ``known``, ``item`` (bytes) and ``need``, where
+    ``unpacked(item, need)`` gives the distinct hashes of the set, sorted, and of its prefix."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([*keys, "side", "node"], kind="stable").drop_duplicates([*keys, "node"])
         cut = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy())
-        node, side, need = (pdf[c].to_numpy() for c in ("node", "side", "need"))
+        node, side, need, known = (pdf[c].to_numpy() for c in ("node", "side", "need", "known"))
         item = pdf["item"].to_numpy()
         out = []
         for a, b in zip(cut, [*cut[1:], len(pdf)], strict=True):
             if b - a > 1:
                 sets, prefixes = zip(*(unpacked(t, n) for t, n in zip(item[a:b], need[a:b], strict=True)), strict=True)
-                out += links_of_cluster(node[a:b], side[a:b], need[a:b], list(sets), list(prefixes), percent)
+                out += links_of_cluster(node[a:b], side[a:b], need[a:b], list(sets), list(prefixes), percent, known[a:b])
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     together = F.pmod(F.xxhash64(*keys), F.lit(max(1, rows // BATCH)))
     return tasks.withColumn("together", together).groupBy("together").applyInPandas(run, "a long, b long")
 
 
+def keyed_sets(h: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (owner, hash) as one sorted array of 64 bits (48 of them the hash's), and how many each owner has.
+
+    ``owner`` is below 2 ** 16. Two hashes of one owner that agree in 48 bits count as one: for sets of up to
+    10 ** 5 hashes that happens once in 10 ** 4 sets.
+    """
+    keys = np.unique((owner.astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16)))
+    return keys, np.bincount((keys >> np.uint64(48)).astype(np.int64), minlength=n)
+
+
+def similar_pairs(keys: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets ``a[k]`` and ``b[k]`` of ``keyed_sets`` are similar (100 * shared >= percent * union), all at once."""
+    first = np.cumsum(size) - size
+    small, large = np.where(size[a] <= size[b], a, b), np.where(size[a] <= size[b], b, a)
+    ok = 100 * size[small] >= percent * size[large]
+    pair = np.repeat(np.flatnonzero(ok), size[small][ok])
+    within = np.arange(len(pair)) - np.repeat(np.cumsum(size[small][ok]) - size[small][ok], size[small][ok])
+    mask = np.uint64((1 << 48) - 1)
+    wanted = (large[pair].astype(np.uint64) << np.uint64(48)) | (keys[first[small][pair] + within] & mask)
+    hit = keys[np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))] == wanted if len(keys) else np.zeros(0, dtype=bool)
+    shared = np.bincount(pair[hit], minlength=len(a))
+    return ok & (100 * shared >= percent * (size[a] + size[b] - shared)) & (size[small] > 0)
+
+
+def linked_stars(edges: DataFrame, items: DataFrame, percent: int, hashes: Callable) -> DataFrame:
+    """Those of ``edges`` (distinct ``a``, ``b``) whose ``items`` (``node``, ``item``: bytes) are similar.
+
+    All pairs of a center ``a`` are compared with one copy of it a task: a hot center is dealt to as many tasks as it
+    has ``BLOCK``s of partners. Tasks take many centers together, ``AT_ONCE`` bytes on average. ``hashes(list of items)``
+    gives the hashes of their sets' members and the place of each one's item.
+    """
+    weighed = edges.join(items.withColumnRenamed("node", "b"), "b")
+    ways = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("ways"))
+    ways = broadcast_if_small(keep(ways.filter("ways > 1"), "ways"))
+    members = (weighed.join(ways, "a", "left").withColumn("part", F.pmod(F.xxhash64(F.lit(7), "b"), F.coalesce("ways", F.lit(1).cast("long"))))
+               .select("a", "part", F.lit(False).alias("lead"), F.col("b").alias("node"), "item"))
+    centers = (edges.select("a").distinct().join(ways, "a", "left")
+               .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("ways", F.lit(1).cast("long")) - 1)))
+               .join(items.withColumnRenamed("node", "a"), "a").select("a", "part", F.lit(True).alias("lead"), F.col("a").alias("node"), "item"))
+    size = items.agg(F.sum(F.octet_length("item").cast("long")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    average = (size.bytes or 0) / max(1, size.n)
+    groups = max(1, int(edges.count() * 1.5 * (average + 16)) // AT_ONCE)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["a", "part"], kind="stable")
+        lead = pdf["lead"].to_numpy(dtype=bool)
+        star = np.cumsum((pdf[["a", "part"]] != pdf[["a", "part"]].shift()).any(axis=1).to_numpy()) - 1
+        center = np.full(star[-1] + 1 if len(star) else 0, -1)
+        center[star[lead]] = np.flatnonzero(lead)
+        out = []
+        for at in range(0, len(pdf), 1 << 15):  # places of a call fit 16 bits: members, then their centers
+            mine = np.arange(at, min(at + (1 << 15), len(pdf)))
+            mine = mine[~lead[mine] & (center[star[mine]] >= 0)]
+            if not len(mine):
+                continue
+            used, which = np.unique(center[star[mine]], return_inverse=True)
+            every = np.concatenate([mine, used])
+            keys, n = keyed_sets(*hashes(pdf["item"].iloc[every].tolist()), len(every))
+            good = similar_pairs(keys, n, len(mine) + which, np.arange(len(mine)), percent)
+            out.append(pdf.iloc[mine[good]][["a", "node"]])
+        found = pd.concat(out) if out else pd.DataFrame({"a": [], "node": []})
+        return pd.DataFrame({"a": found["a"].to_numpy(dtype="int64"), "b": found["node"].to_numpy(dtype="int64")})
+
+    both = members.unionByName(centers).withColumn("together", F.pmod(F.xxhash64("a", "part"), F.lit(groups)))
+    return both.groupBy("together").applyInPandas(run, "a long, b long")
+
+
 def _ways(column: str, n) -> F.Column:
     return F.pmod(F.xxhash64(F.lit(7), F.col(column)), n)
 
 
 def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFrame], percent: int,
-                        unpacked: Callable, block: int = BLOCK) -> DataFrame:
+                        unpacked: Callable, block: int = BLOCK, links: DataFrame | None = None) -> DataFrame:
     """``node``, ``component`` for the members of ``clusters`` (``node``, ``cluster``) that have verified links.
 
     ``items`` gets members (with further columns of ``clusters``) and returns them with ``item`` and ``need``, as
-    ``_link`` takes them. Nodes without links don't appear.
+    ``_link`` takes them. Nodes without links don't appear. ``links`` (``a``, ``b``) are verified already; with them
+    ``clusters`` has their components as ``known``, and pairs inside of those aren't compared.
     """
+    before, clusters = links, clusters if links is not None else clusters.withColumn("known", F.col("node"))
     sized = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = clusters.join(sized, "cluster").withColumn("blocks", F.ceil(F.col("m") / F.lit(block)).cast("long"))
     members = broadcast_if_small(keep(members, "members"))
     full = keep(items(members).withColumn("block", _ways("node", F.col("blocks"))), "items")
+    weight = full.agg(F.sum(F.octet_length("item").cast("long"))).first()[0] or 0
+    calls = max(full.count(), weight * BATCH // AT_ONCE)  # in rows of a batch
     hub = F.col("block") == 0
     tasks = full.withColumn("task", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks") - 1))
                                               .otherwise(F.array("block"))))
     tasks = tasks.withColumn("side", F.when(hub, 0).otherwise(1))
-    links = checkpointed(_link(tasks.select("cluster", "task", "side", "node", "item", "need"),
-                               ["cluster", "task"], percent, unpacked, full.count()))
+    columns = ["side", "node", "known", "item", "need"]
+    links = checkpointed(_link(tasks.select("cluster", "task", *columns), ["cluster", "task"], percent, unpacked, calls))
+    if before is not None:
+        links = links.unionByName(before)
     cut = full.filter("blocks > 1")
     if cut.isEmpty():
         return connected_components(links)
@@ -201,10 +274,9 @@ def verified_components(clusters: DataFrame, items: Callable[[DataFrame], DataFr
             .withColumn("task", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0)))
     right = (cut.join(count, "cluster").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("task", F.col("block")).withColumn("side", F.lit(1)))
-    columns = ["cluster", "part", "task", "side", "node", "item", "need"]
-    both = left.select(*columns).unionByName(right.select(*columns))
-    more = _link(both, ["cluster", "part", "task"], percent, unpacked,
-                 2 * full.count())
+    keys = ["cluster", "part", "task"]
+    both = left.select(*keys, *columns).unionByName(right.select(*keys, *columns))
+    more = _link(both, keys, percent, unpacked, 2 * calls)
     return connected_components(links.unionByName(checkpointed(more)))
 
 

@@ -3,8 +3,10 @@
 Standard-library parser events become lines: one a block element, with its text and the number of tags met in it.
 The ratio of characters to tags of each line is smoothed with a Gaussian over neighbouring lines; lines at or
 above the threshold (the standard deviation of the smoothed ratios) cluster into content. The content region is
-the smallest element that holds all the clustered text, inside or outside of ``article`` and ``main``, and all its
-blocks are returned, short ones too. Elements that are never content are left out wherever they stand:
+the smallest element that holds all the clustered text, and all its blocks are returned, short ones too. Where no line
+outside of ``article`` and ``main`` elements reaches the threshold by itself (only through its neighbours), it is what
+holds all of their part: the smallest element inside one of them, or else all of them. Elements that are never content
+are left out wherever they stand:
 menus, headers (but for headings in an article), footers, sidebars, scripts, styles, and elements whose role names
 them as navigation or the like. So are forms, and elements whose class or id names them as adverts, notices, comments
 or the like, unless one holds most of the page's text and no ``article`` or ``main`` has text outside it.
@@ -207,6 +209,13 @@ def main_text(html) -> str:
     ratio[may] = [len(lines[k][0]) / max(1, lines[k][1]) for k in may]
     level = smoothed(ratio)
     chosen = [k for k in may if level[k] >= level.std()] or may
+    story = [False] * len(names)  # inside an article or main element
+    for e, name in enumerate(names):
+        story[e] = name in ("article", "main") or (up[e] >= 0 and story[up[e]])
+    told = [k for k in chosen if lines[k][2] >= 0 and story[lines[k][2]]]
+    if any(ratio[k] >= level.std() for k in set(chosen) - set(told)):
+        told = []
+    chosen = told or chosen
     # chosen lines by element; the smallest element with all of them is the region
     count = [0] * len(names)
     for k in chosen:
@@ -217,6 +226,8 @@ def main_text(html) -> str:
             count[up[e]] += count[e]
     region = max((e for e, n in enumerate(count) if n == len(chosen) and names[e] not in INLINE
                   and names[e] not in _CLOSES and not _HEADING.match(names[e])), default=-1)
+    if told and (region < 0 or not story[region]):
+        return "\n".join(lines[k][0] for k in may if lines[k][2] >= 0 and story[lines[k][2]])
     inside = [False] * len(names)
     for e in range(len(names)):
         inside[e] = e == region or (up[e] >= 0 and inside[up[e]])

@@ -194,6 +194,70 @@ def test_a_name_does_not_bar_the_whole_page(name):
     assert html_text.main_text(page) == LONG.strip()
 
 
+def test_text_beside_main_stays():
+    prose = "Prose of the story that stands beside the main element for some reason of the page's author. " * 3
+    page = f"<body><nav>Menu</nav><main><p>{LONG}</p></main><div><p>{prose}</p></div><footer>End</footer></body>"
+    assert html_text.main_text(page).split("\n") == [LONG.strip(), prose.strip()]
+    page = f"<body><main><p>{LONG}</p></main><p>Short.</p><nav>Menu</nav></body>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("odd", ["<![foo[ x ]]>", "<![", "<![[", "<![if IE]>", "<![CDATA[ d ]]>", "<!>", "<!doctype", "<?x", "</>", "</ p>", "<", "&#xFFFFFFFF;",
+                                 "<a b='", "<!--", "<script>", "\x00"])
+def test_no_page_raises(odd):
+    assert html_text.main_text(f"<p>{LONG}</p>{odd}").startswith(LONG.strip()[:200])
+    html_text.main_text(f"{odd}<p>{LONG}</p>")
+    html_text.main_text(odd * 50)
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def took(page):
+        start = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - start
+
+    for make in (lambda d: "<div>" * d + "</span>" * d + "text", lambda d: "<li><div>" + "<b>" * d + "<li></li>" * d,
+                 lambda d: "<article><header>" + "<i>" * d + "<h1>x</h1>" * d, lambda d: "<p>" * d + "</div>" * d):
+        took(make(100))
+        assert took(make(40_000)) < 30 * took(make(4_000)) + 0.5
+
+
+def brute_page(r: random.Random) -> tuple[str, str]:
+    """A small page made of known parts, and the text of those that belong to the article."""
+    def sentence(n):
+        return " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(n))
+
+    body, want = [], []
+    for _ in range(r.randint(2, 6)):
+        kind, text = r.choice(["p", "p", "p", "h2", "blockquote", "li", "nested"]), sentence(r.randint(25, 60))
+        if kind == "h2":
+            text = sentence(4)
+        want.append(text)
+        at = r.randrange(1, len(text.split()))
+        first, last = " ".join(text.split()[:at]), " ".join(text.split()[at:])
+        inner = r.choice([f"{first} <b>{last}</b>", f"{first}\n  {last}", f"<a href='x'>{first}</a> {last}", f"{first}<br>{last}"])
+        body.append({"li": f"<ul><li>{inner}</li></ul>", "nested": f"<div><div><p>{inner}</p></div></div>"}.get(kind, f"<{kind}>{inner}</{kind}>"))
+    if all(len(w.split()) < 10 for w in want):
+        want.append(sentence(50))
+        body.append(f"<p>{want[-1]}</p>")
+    chrome = [f"<nav><a href=1>{sentence(2)}</a></nav>", f"<header>{sentence(3)}</header>", f"<footer>{sentence(5)}</footer>",
+              f"<aside><p>{sentence(9)}</p></aside>", f"<div class='advert'>{sentence(6)}</div>", f"<form><label>{sentence(2)}</label></form>",
+              f"<script>{sentence(30)}</script>", f"<div id='comments'><p>{sentence(12)}</p></div>", f"<!-- {sentence(40)} -->"]
+    r.shuffle(chrome)
+    frame = r.choice(["<article>%s</article>", "<main>%s</main>", "<div>%s</div>"]) % "".join(body)
+    cut = r.randint(0, len(chrome))
+    return "<html><head><title>T</title></head><body>" + "".join(chrome[:cut]) + frame + "".join(chrome[cut:]) + "</body></html>", "\n".join(want)
+
+
+def test_small_pages_of_known_parts():
+    r = random.Random(8)
+    for k in range(300):
+        page, want = brute_page(r)
+        assert html_text.main_text(page) == want, k
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % f"<article>{STORY}</article>", "x"), (2, None, None, "x"), (3, "u", "", "x"),
                                    (4, "u", "just text", "x"), (5, "u", "<nav>menu</nav>", "x"), (None, "u", "<p>a" * 3000, "x")],
