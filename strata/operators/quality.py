@@ -68,8 +68,7 @@ class RuleSet:
         return valid, invalid
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add ``_verdict`` (never NULL) and ``_reasons`` (only on rejected rows), so one
-        evaluation of the rules can feed both outputs (see ``split_tagged``)."""
+        """Add ``_verdict`` (never NULL) and ``_reasons`` (only on rejected rows): one evaluation for both outputs."""
         verdict = self.verdict(df)
         return df.withColumns({"_verdict": verdict, "_reasons": F.when(~verdict, self.reasons(df))})
 
@@ -86,13 +85,6 @@ class RuleSet:
         return counts.select(stack).select("v.rule", "v.rows_failed")
 
 
-def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) of a ``RuleSet.tag`` frame; invalid keeps ``_reasons``."""
-    valid = tagged.filter(F.col("_verdict")).drop("_verdict", "_reasons", CORRUPT, CAST_FAILED)
-    invalid = tagged.filter(~F.col("_verdict")).drop("_verdict")
-    return valid, invalid
-
-
 @dataclass(frozen=True)
 class FlagSet:
     """Named soft flags; ``any`` is their NULL-safe OR."""
@@ -108,6 +100,24 @@ class FlagSet:
         return out.withColumn(self.any_name, any_true(self.names))
 
 
+def tagged_rows(tagged: DataFrame, run_id: str, data_source: str, data_cols: Sequence[str],
+                also: Sequence[str] = ()) -> DataFrame:
+    """A ``RuleSet.tag`` frame in the columns of both outputs: a valid row has its data and audit columns, a rejected
+    one the quarantine's (B6, B7); the others are NULL. A rejected row's JSON has the data columns and ``also`` those,
+    which stay, like ``_verdict``."""
+    valid = F.col("_verdict")
+    raw = F.to_json(F.struct(*data_cols, *also))
+    raw = F.coalesce(F.col(CORRUPT), raw) if CORRUPT in tagged.columns else raw
+    now = F.current_timestamp()
+    out = tagged.withColumns({"raw_record": F.when(~valid, raw), "reasons": F.col("_reasons"),
+                              "quarantine_ts": F.when(~valid, now), "ingestion_ts": F.when(valid, now),
+                              "data_source": F.when(valid, F.lit(data_source)), "run_id": F.lit(run_id)})
+    if SOURCE_FILE not in out.columns:
+        out = out.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
+    blank = {c: F.when(valid, F.col(c)) for c in data_cols}
+    return out.withColumns(blank).drop("_reasons", *HELPER_COLUMNS)
+
+
 def quarantine_rows(invalid: DataFrame, entity: str | Column, run_id: str,
                     reasons: Column | None = None, data_cols: Sequence[str] | None = None) -> DataFrame:
     """Quarantine projection (B6): the original bad text wins, else JSON of the data columns.

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.operators import dims, facts
 from strata.operators.rules import code_rules, trip_rules, zone_rules
 from strata.plans import mapping as M
 from strata.presets import DRIVER_PRESET
-from strata.session import scratch_path
+from strata.session import shared_dir
 from strata.sinks import writers as W
-from strata.storage import modification_time
+from strata.storage import file_versions
 
 PRESET = DRIVER_PRESET
 
@@ -35,35 +34,24 @@ def codes_frame(spark: SparkSession, d: str) -> DataFrame:
     return dims.reference_dim(valid)
 
 
-_DICTIONARIES: dict[tuple, str] = {}
+def code_stage(spark: SparkSession, d: str) -> str:
+    """Stage: the code dictionary as a table in the shared folder, keyed by the files that it is derived from.
 
+    The key is a digest of the names, sizes and times of the files of orders and lineitem, so a changed input is a new
+    table and every session and query of the same input shares one. The lookups read that table; Spark sees its real,
+    tiny size and broadcasts it. The table appears whole (``overwrite`` swaps it in), so a stage that was cut off is
+    run again.
+    """
+    version = file_versions(spark, [f"{d.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem")])
+    path = f"{shared_dir(spark)}/strata-stages/dim_reference-{version}"
+    if not W.table_exists(spark, path):
+        W.overwrite(codes_frame(spark, d), path)
+    return path
 
-def codes(spark: SparkSession, d: str) -> DataFrame:
-    """The code dictionary, materialised like the pipeline's ``dim_reference`` table.
 
-    It is derived from distinct values of the two largest tables, so it is
-    computed once per session and input version (keyed by the source files'
-    modification times) and stored; the lookups then see its real, tiny size and
-    Spark's size check broadcasts it.
-    """
-    key = _input_version(spark, d)
-    path = _DICTIONARIES.get(key) if key is not None else None
-    if path is None or not W.table_exists(spark, path):
-        path = scratch_path(spark, "dim_reference")
-        codes_frame(spark, d).write.parquet(path)
-        if key is not None:
-            _DICTIONARIES[key] = path
-    return spark.read.parquet(path)
-
-
-def _input_version(spark: SparkSession, d: str) -> tuple | None:
-    """(application, folder, modification times of the dictionary's sources), or None
-    when they cannot be read, in which case the dictionary is simply rebuilt."""
-    try:
-        times = [modification_time(spark, f"{d.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem")]
-        return (spark.sparkContext.applicationId, d.rstrip("/"), *times)
-    except Exception:  # noqa: BLE001 - no file-system access through the session: no reuse
-        return None
+def codes(spark: SparkSession, d: str) -> DataFrame:
+    """The code dictionary like the pipeline's ``dim_reference`` table, from its stage."""
+    return W.read_table(spark, code_stage(spark, d))
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +75,3 @@ def daily_conditions(spark: SparkSession, d: str) -> DataFrame:
     w = M.daily_weather(spark, d)
     return w.select("weather_date", "precipitation_mm", "snowfall_cm",
                     dims.weather_condition(PRESET.weather).alias("weather_condition"))
-
-
-def slice_count(df: DataFrame) -> DataFrame:
-    return df.groupBy("source_year_month").agg(F.count("*").alias("rows"))

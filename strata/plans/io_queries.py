@@ -196,8 +196,7 @@ def load_metrics(spark: SparkSession, d: str) -> DataFrame:
     params = JobParams(root=scratch_path(spark, "lake"), months=",".join(slices), run_id="driver")
     raw = M.raw_trips(spark, d)
     read = {r[0]: r[1] for r in raw.groupBy("source_year_month").count().collect()}    # one row a month
-    valid, invalid = PL.split_with_reasons(trip_rules(DRIVER_PRESET), raw)
-    PL.write_trip_slices(spark, params, valid, invalid, slices, read, data_source="driver_tables")
+    PL.write_trip_slices(spark, params, trip_rules(DRIVER_PRESET).tag(raw), slices, read, data_source="driver_tables")
     W.upsert(D.zones(spark, d), PL._t(params, "silver", "dim_zone"), ["location_id"])
     W.upsert(D.codes(spark, d), PL._t(params, "silver", "dim_reference"), ["code_type", "code"])
     PL.build_fact_stage(spark, params, DRIVER_PRESET)

@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
-from strata.functions.exprs import in_months
 from strata.operators import dims, facts, marts
-from strata.operators.quality import HELPER_COLUMNS, SOURCE_FILE, quarantine_rows, with_audit
+from strata.operators.quality import quarantine_rows, tagged_rows, with_audit
 from strata.operators.rules import code_rules, trip_rules, weather_rules, zone_rules
 from strata.params import JobParams, slice_bounds
 from strata.presets import Preset
@@ -44,24 +43,23 @@ def ingest_trips(spark: SparkSession, params: JobParams, paths: Mapping[str, str
                  preset: Preset = P.TRIP_PRESET, data_source: str = "trip_parquet") -> dict[str, dict[str, int]]:
     """Monthly files -> bronze trips + quarantine, one write each for all requested slices.
 
-    Files with one schema are one scan, and every row is checked against its own file's month. The valid
-    branch also has the group's first and last day as literals, which reach the scan as pushed filters. The two outputs
-    are two filtered scans, nothing is cached. The rows read are counted on the files, in one job for all of
-    them, not from the outputs. Absent columns are logged per file.
+    Files with one schema are one scan, and every row is checked against its own file's month. The rules are evaluated
+    once a row and both outputs come from one write, so every byte is read once and nothing is cached. The rows read are
+    counted on the files (their footers, in one job for all), not from the outputs. Absent columns are logged per
+    file.
     """
     slices = params.slices
     groups = R.read_deliveries(spark, {ym: paths[ym] for ym in slices}, SLICE, months=True)
     absent = {f"yellow_trips_{ym}": {f"absent_column_{c}": 1 for c in g.missing(S.TRIP_DRIFT)} for g in groups for ym in g.slices}
     if any(absent.values()):
         M.append_many(spark, _t(params, "audit", "data_quality_log"), params.run_id, "bronze", absent)
-    valid = invalid = None
+    tagged = None
     for g in groups:
-        v, i = split_with_reasons(trip_rules(preset, (F.col(R.SLICE_FROM), F.col(R.SLICE_TO))),
-                                  R.normalize(g.rows, S.TRIP_DRIFT, [SLICE, R.SLICE_FROM, R.SLICE_TO]))
-        v = v.filter(in_months("pickup_datetime", min(g.slices), max(g.slices)))
-        v, i = (x.drop(R.SLICE_FROM, R.SLICE_TO) for x in (v, i))
-        valid, invalid = (v, i) if valid is None else (valid.unionByName(v), invalid.unionByName(i))
-    return write_trip_slices(spark, params, valid, invalid, slices, rows_by_slice(groups), data_source)
+        rules = trip_rules(preset, (F.col(R.SLICE_FROM), F.col(R.SLICE_TO)))
+        rows = R.normalize(g.rows, S.TRIP_DRIFT, [SLICE, R.SLICE_FROM, R.SLICE_TO])
+        rows = rules.tag(rows).drop(R.SLICE_FROM, R.SLICE_TO)
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    return write_trip_slices(spark, params, tagged, slices, rows_by_slice(groups), data_source)
 
 
 def rows_by_slice(groups: list[R.Deliveries]) -> dict[str, int]:
@@ -72,42 +70,29 @@ def rows_by_slice(groups: list[R.Deliveries]) -> dict[str, int]:
     return {r[0]: r[1] for r in rows.groupBy(SLICE).count().collect()}
 
 
-def split_with_reasons(rules, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) of a rule set; invalid rows carry the broken rules in ``_reasons``."""
-    valid, invalid = rules.split(df)
-    return valid, invalid.withColumn("_reasons", rules.reasons(invalid))
-
-
-def write_trip_slices(spark: SparkSession, params: JobParams, valid: DataFrame, invalid: DataFrame,
+def write_trip_slices(spark: SparkSession, params: JobParams, tagged: DataFrame,
                       slices: list[str], read: Mapping[str, int], data_source: str = "trip_parquet",
                       entity_prefix: str = "yellow_trips_") -> dict[str, dict[str, int]]:
-    """Quarantine and bronze slice replacement with per-slice metrics.
+    """Quarantine and bronze slice replacement from one write of a ``RuleSet.tag`` frame, with per-slice metrics.
 
-    ``invalid`` carries the broken rule names in ``_reasons``; ``read`` has the input rows
-    per slice. The other counts are one aggregation by slice over the stored table, so
+    ``read`` has the input rows per slice. The other counts are one aggregation by slice over the stored tables, so
     their cost does not depend on the number of slices.
     """
-    q = _trip_quarantine(invalid, params, entity_prefix)
-    entities = [f"{entity_prefix}{ym}" for ym in slices]
-    stored_q = W.replace_slices(q, _t(params, "bronze", "quarantine"), "entity", entities)
-    path = _t(params, "bronze", "yellow_trips")
-    stored = W.replace_slices(with_audit(valid, data_source, params.run_id), path, SLICE, slices)
+    data_cols = [c for c in tagged.columns if c in S.TRIP_COLUMNS]
+    rows = tagged_rows(tagged, params.run_id, data_source, data_cols, [SLICE])
+    stored = W.replace_tagged(rows, "_verdict", SLICE, slices, {
+        False: (_t(params, "bronze", "quarantine"), "entity", entity_prefix),
+        True: (_t(params, "bronze", "yellow_trips"), SLICE, "")})
     table = T.read(spark, params.root, "bronze", "yellow_trips").filter(F.col(SLICE).isin(*slices))
     nulls = {r[0]: r[1] for r in table.groupBy(SLICE).agg(F.count_if(F.col("passenger_count").isNull())).collect()}
-    summary = {ym: {"rows_read": int(read.get(ym, 0)), "rows_valid": stored[ym],
-                    "rows_quarantined": stored_q[f"{entity_prefix}{ym}"],
+    summary = {ym: {"rows_read": int(read.get(ym, 0)), "rows_valid": stored[True][ym],
+                    "rows_quarantined": stored[False][ym],
                     "null_passenger_count": int(nulls.get(ym, 0))} for ym in slices}
     M.append_many(spark, _t(params, "audit", "data_quality_log"), params.run_id, "bronze",
                   {f"{entity_prefix}{ym}": m for ym, m in summary.items()})
     return summary
 
 
-def _trip_quarantine(invalid: DataFrame, params: JobParams, entity_prefix: str) -> DataFrame:
-    data_cols = [c for c in invalid.columns if c not in ("_reasons", *HELPER_COLUMNS, SOURCE_FILE)]
-    return quarantine_rows(invalid, F.concat(F.lit(entity_prefix), F.col(SLICE)), params.run_id,
-                           reasons=F.col("_reasons"), data_cols=data_cols)
-
-
 def _ingest_small(spark: SparkSession, params: JobParams, df: DataFrame, rules, entity: str, table: str,
                   keys: list[str], data_source: str) -> dict[str, int]:
     """Shared shape of the small entities: split, quarantine, upsert, metrics.

@@ -159,6 +159,47 @@ def replace_slices(df: DataFrame, path: str, col: str, slices: Sequence[str],
     return {s: int(rows.get(s, 0)) for s in slices}
 
 
+def replace_tagged(df: DataFrame, tag: str, col: str, slices: Sequence[str],
+                   targets: Mapping[object, tuple[str, str, str]]) -> dict[object, dict[str, int]]:
+    """Replace ``slices`` of several tables from one frame, evaluated and written once (K1, K2).
+
+    ``targets`` maps a value of ``tag`` to a table: its path, its partition column, and a prefix of its partitions'
+    names before the slice. The frame is staged by tag and slice; each table's slices are then swapped in by a commit
+    that can be finished after a stop (``recover``), so a table never shows half of one. A requested slice without rows
+    ends up empty. Files of all tables have the frame's columns; read them with a table's own schema.
+    Returns the rows now stored, by tag and slice.
+    """
+    spark = df.sparkSession
+    slices = list(dict.fromkeys(slices))
+    base = next(iter(targets.values()))[0].rstrip("/")
+    tagged = f"{base}.__tagged"
+    remove_path(spark, tagged)
+    guard_slices(df, col, slices).hint("rebalance", tag, col).write.partitionBy(tag, col).parquet(tagged)
+    out = {}
+    for value, (path, part_col, prefix) in targets.items():
+        path = path.rstrip("/")
+        recover(spark, path)
+        staged, *_ = _beside(path)
+        remove_path(spark, staged)
+        make_dirs(spark, staged)
+        found = f"{tagged}/{tag}={str(value).lower() if isinstance(value, bool) else value}"
+        names = {s: _slice_dir("", part_col, f"{prefix}{s}").lstrip("/") for s in slices}
+        adds = {}
+        for s in slices:
+            if path_exists(spark, f"{found}/{col}={s}"):
+                rename_path(spark, f"{found}/{col}={s}", f"{staged}/{col}={s}")
+                adds[f"{col}={s}"] = names[s]
+        _commit(spark, path, adds, set(names.values()) & set(entries(spark, path)))
+        out[value] = {s: 0 for s in slices}
+        if adds:
+            full = {f"{prefix}{s}": s for s in slices if f"{col}={s}" in adds}
+            stored = spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in adds.values()])
+            for name, n in stored.groupBy(F.col(part_col).cast("string")).count().collect():
+                out[value][full[name]] = int(n)
+    remove_path(spark, tagged)
+    return out
+
+
 def _whole_rows(src: DataFrame, target: DataFrame, path: str) -> DataFrame:
     """The source in the target's columns and types; a merge must not blank or invent columns."""
     missing, extra = set(target.columns) - set(src.columns), set(src.columns) - set(target.columns)

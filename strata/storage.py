@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 
@@ -41,6 +44,42 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def file_versions(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Digest of the names, sizes and modification times of the files under ``paths``: another one if any changes."""
+    found = []
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), int(f.getLen()), int(f.getModificationTime())))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()[:16]
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return bool(fs.getFileStatus(p).isDirectory())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """Full name of a file with its scheme, encoded as Spark shows it in ``_metadata.file_path``."""
+    fs, p = hadoop_path(spark, path)
+    return fs.makeQualified(p).toUri().toString()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
+    fs, p = hadoop_path(spark, src)
+    _, q = hadoop_path(spark, dst)
+    if not fs.rename(p, q):
+        raise OSError(f"rename failed: {src} -> {dst}")
+
+
 def modification_time(spark: SparkSession, path: str) -> int:
     """Modification time (ms) of a file or folder, through the Hadoop file system API."""
     fs, p = hadoop_path(spark, path)

@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from strata.functions.exprs import in_months
 from strata.operators import facts
 from strata.operators.quality import RuleSet
 from strata.operators.rules import trip_rules
@@ -104,13 +105,43 @@ def test_group_filter_reaches_the_scan(spark, deliveries):
     valid, _ = trip_rules(slice_value=(F.col(R.SLICE_FROM), F.col(R.SLICE_TO))).split(rows)
     spark.conf.set("spark.sql.maxMetadataStringLength", "20000")
     try:
-        p = plan_of(valid.filter(PL.in_months("pickup_datetime", min(g.slices), max(g.slices))))
+        p = plan_of(valid.filter(in_months("pickup_datetime", min(g.slices), max(g.slices))))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = p[p.index("PushedFilters"):].split("]")[0]
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in pushed and "LessThan(tpep_pickup_datetime" in pushed
 
 
+def test_both_outputs_come_from_one_scan(spark, tmp, deliveries):
+    """Valid and rejected rows are written by one job that reads every file once, and each table has its own columns."""
+    g = R.read_deliveries(spark, deliveries, "source_year_month", months=True)[0]
+    rows = R.normalize(g.rows, S.TRIP_DRIFT, ["source_year_month", R.SLICE_FROM, R.SLICE_TO])
+    tagged = trip_rules(slice_value=(F.col(R.SLICE_FROM), F.col(R.SLICE_TO))).tag(rows).drop(R.SLICE_FROM, R.SLICE_TO)
+    assert plan_of(tagged).count("FileScan parquet") == 1
+    params = JobParams(root=f"{tmp}/lake", months=",".join(MONTHS), run_id="r")
+    PL.write_trip_slices(spark, params, tagged, MONTHS, {})
+    t = T.read(spark, params.root, "bronze", "yellow_trips")
+    assert t.count() == sum(2 + k % 3 - k % 2 for k in range(81)) and t.filter("run_id != 'r' or data_source is null").count() == 0
+    q = T.read(spark, params.root, "bronze", "quarantine")
+    assert q.count() == 40 and {tuple(r.reasons) for r in q.collect()} == {("pickup_in_slice",)}
+    one = json.loads(q.filter("entity = 'yellow_trips_2019-02'").first().raw_record)
+    assert one["source_year_month"] == "2019-02" and one["pickup_datetime"].startswith("2019-03-01") and "_reasons" not in one
+
+
+def test_a_slice_that_empties_goes_from_both_tables(spark, tmp):
+    month_file(f"{tmp}/a.parquet", "2025-01", n=4, wrong_month=2)
+    month_file(f"{tmp}/b.parquet", "2025-02", n=4, wrong_month=2)
+    params = JobParams(root=f"{tmp}/lake", months="2025-01,2025-02", run_id="r")
+    PL.ingest_trips(spark, params, {"2025-01": f"{tmp}/a.parquet", "2025-02": f"{tmp}/b.parquet"})
+    month_file(f"{tmp}/a.parquet", "2025-01", n=3, wrong_month=3)
+    month_file(f"{tmp}/b.parquet", "2025-02", n=3)
+    out = PL.ingest_trips(spark, params, {"2025-01": f"{tmp}/a.parquet", "2025-02": f"{tmp}/b.parquet"})
+    assert [(m["rows_read"], m["rows_valid"], m["rows_quarantined"]) for m in out.values()] == [(3, 0, 3), (3, 3, 0)]
+    count = lambda name, col: {r[0]: r[1] for r in T.read(spark, params.root, "bronze", name).groupBy(col).count().collect()}
+    assert count("yellow_trips", "source_year_month") == {"2025-02": 3}
+    assert count("quarantine", "entity") == {"yellow_trips_2025-01": 3}
+
+
 def _zones(tmp):
     with open(f"{tmp}/zones.csv", "w") as f:
         f.write('LocationID,Borough,Zone,service_zone\n1,A,a,x\n2,B,b,x\n3,C,c,x\nbad\n900,D,d,x\n')
