@@ -30,7 +30,7 @@ BATCH, AT_ONCE = 1000, 1 << 19
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # distinct comes later
 
 
 def _small_star(e: DataFrame) -> DataFrame:

@@ -35,8 +35,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: What a character without a piece costs below the least score.
 UNKNOWN_PENALTY = 10.0
-#: Chunks held in a task's cache, and bytes of new chunks encoded at a time.
-CACHE, AT_ONCE = 200_000, 1 << 20
+#: Chunks held in a task's cache, characters of texts that are taken together, and of new chunks encoded at a time.
+CACHE, AT_ONCE, VITERBI = 200_000, 1 << 20, 1 << 16
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
@@ -158,7 +158,9 @@ def encode_chunks(pieces: Pieces, chunks: list[bytes]) -> list[np.ndarray]:
     found.append((lone, one[lone], np.full(len(lone), -1)))
     begin, length, piece = (np.concatenate(x) for x in zip(*found, strict=True))
     gain = np.where(piece >= 0, pieces.score[piece], pieces.unknown_score)
-    order = np.lexsort((length, offset[begin]))
+    # by place in the chunk (matches of one place reach different ends, so their order is free)
+    place = offset[begin]
+    order = np.argsort(place.astype(np.uint16) if len(place) and place.max() < 1 << 16 else place, kind="stable")
     begin, length, piece, gain = begin[order], length[order], piece[order], gain[order]
     # best score of a path that ends before byte k of its chunk (places are shifted by one a chunk)
     shift = np.repeat(np.arange(len(chunks)), size)
@@ -195,55 +197,67 @@ def encode_chunks(pieces: Pieces, chunks: list[bytes]) -> list[np.ndarray]:
     if len(lost):
         within = np.arange(len(out)) - np.repeat(np.cumsum(many) - many, many)
         out[lost] = pieces.byte_id[data[(np.repeat(begin[edge], many) + within)[lost]]]
-    counts = np.bincount(owner, weights=many, minlength=len(chunks)).astype(np.int64)
-    return np.split(out.astype(np.int32), np.cumsum(counts)[:-1])
+    cut = np.concatenate([[0], np.cumsum(np.bincount(owner, weights=many, minlength=len(chunks)).astype(np.int64))])
+    out = out.astype(np.int32)
+    return [out[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+def keys_of(part: str) -> list[str]:
+    """Keys of a part's chunks: a word that follows one space is its own key, any other chunk has a space at the end."""
+    if part.startswith(" ") and "  " not in part and not part.endswith(" "):
+        return part[1:].split(" ")
+    return [c[1:] if len(c) > 1 and c[0] == " " and c[1] != " " else c + " " for c in _CHUNK.findall(part)]
 
 
 class Encoder:
-    """Encodes texts of a task; chunks met before come from a cache of bounded size."""
+    """Encodes the texts of a task. Ids of chunks met before come from a cache of two generations: a full one becomes
+    the old one, and what is met again moves to the new one, so frequent chunks stay and rare ones go."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.cache = pieces, {}
+        self.pieces, self.cache, self.old = pieces, {}, {}
         self.mark = pieces.byte_id[list(MARK.encode())].astype(np.int32).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.cache) + len(chunks) > CACHE:
-            self.cache.clear()
+    def _learn(self, keys: set[str]) -> None:
+        """Put ``keys``, which are not in the cache, there."""
+        met = keys & self.old.keys()
+        self.cache.update((c, self.old[c]) for c in met)
         todo, weight = [], 0
-
-        def flush():
-            ids = encode_chunks(self.pieces, [c.replace(" ", MARK).encode("utf-8", "surrogatepass") for c in todo])
-            self.cache.update(zip(todo, (x.tobytes() for x in ids), strict=True))
-
-        for c in chunks:
-            todo.append(c)
-            weight += len(c)
-            if weight > AT_ONCE // 4:
-                flush()
+        for c in [*(keys - met), None]:
+            if todo and (c is None or weight + len(c) > VITERBI):
+                chunks = [x[:-1] if x.endswith(" ") else " " + x for x in todo]
+                ids = encode_chunks(self.pieces, [x.replace(" ", MARK).encode("utf-8", "surrogatepass") for x in chunks])
+                self.cache.update(zip(todo, (x.tobytes() for x in ids), strict=True))
                 todo, weight = [], 0
-        if todo:
-            flush()
-
-    def __call__(self, text) -> np.ndarray:
-        if not isinstance(text, str) or not text:
-            return np.empty(0, dtype=np.int32)
-        out = []
-        for k, part in enumerate((" " + text).split(MARK)):
-            if k:
-                out.append(self.mark)
-            chunks = _CHUNK.findall(part)
-            new = {c for c in chunks if c not in self.cache}
-            if new:
-                self._learn(new)
-                if any(c not in self.cache for c in chunks):  # the cache was cleared meanwhile
-                    self._learn({c for c in chunks if c not in self.cache})
-            out += map(self.cache.__getitem__, chunks)
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+            if c is not None:
+                todo.append(c)
+                weight += len(c)
+
+    def __call__(self, texts) -> Iterator[np.ndarray]:
+        """The ids of each text, taken in groups of about ``AT_ONCE`` characters."""
+        group, weight = [], 0
+        for k, text in enumerate(texts):
+            text = text if isinstance(text, str) else ""
+            group.append([keys_of(part) for part in (" " + text).split(MARK)] if text else [])
+            weight += len(text)
+            if weight > AT_ONCE or k == len(texts) - 1:
+                yield from self._encode(group)
+                group, weight = [], 0
+
+    def _encode(self, group: list[list[list[str]]]) -> Iterator[np.ndarray]:
+        if len(self.cache) > CACHE // 2:
+            self.cache, self.old = {}, self.cache
+        known = [[list(map(self.cache.get, part)) for part in parts] for parts in group]
+        new = {c for parts, got in zip(group, known, strict=True) for part, ids in zip(parts, got, strict=True) if None in ids
+               for c, x in zip(part, ids, strict=True) if x is None}
+        self._learn(new)
+        for parts, got in zip(group, known, strict=True):
+            whole = [ids if None not in ids else map(self.cache.__getitem__, part) for part, ids in zip(parts, got, strict=True)]
+            yield np.frombuffer(self.mark.join(map(b"".join, whole)), dtype=np.int32)
 
 
 def decode_ids(pieces: Pieces, ids) -> str:
     """Text of piece ids; without the marker that encoding puts before it."""
-    data = b"".join(map(pieces.text.__getitem__, ids))
+    data = b"".join(map(pieces.text.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
     return (data[1:] if data.startswith(b" ") else data).decode("utf-8", "replace")
 
 
@@ -258,11 +272,7 @@ def encode_column(spark: SparkSession, text: Column, path: str = MODEL, scores:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(pieces.value)
         for batch in batches:
-            known = {t for t in batch if isinstance(t, str)}
-            new = {c for t in known for c in _CHUNK.findall(" " + t.replace(MARK, " "))} - encoder.cache.keys()
-            if len(new) <= CACHE // 2:
-                encoder._learn(new)
-            yield pd.Series([encoder(t) for t in batch], index=batch.index)
+            yield pd.Series(list(encoder(batch.tolist())), index=batch.index, dtype=object)
 
     return run(text)
 
@@ -282,7 +292,16 @@ def encode(docs: DataFrame, path: str = MODEL, scores: str = "zipf") -> DataFram
     """``doc_id``, ``ids``, ``n_tokens`` and ``round_trip`` (whether decoding gives the text back) for every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    coded = docs.select("doc_id", "text", encode_column(spark, F.col("text"), path, scores).alias("ids"))
-    decoded = decode_column(spark, F.col("ids"), path, scores)
-    return coded.select("doc_id", "ids", F.size("ids").alias("n_tokens"),
-                        (decoded == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    pieces = _shared(spark, path, scores)
+
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(pieces.value)
+        for batch in batches:
+            texts = batch.tolist()
+            ids = list(encoder(texts))
+            same = [decode_ids(pieces.value, x) == (t if isinstance(t, str) else "") for x, t in zip(ids, texts, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)}).set_index(batch.index)
+
+    coded = docs.select("doc_id", run("text").alias("coded"))
+    return coded.select("doc_id", "coded.ids", F.size("coded.ids").alias("n_tokens"), "coded.round_trip")
