@@ -57,6 +57,14 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stored(docs: DataFrame) -> DataFrame:
     """``docs`` itself if its rows can be numbered as they are read, else a stored copy (see ``numbered``)."""
     try:

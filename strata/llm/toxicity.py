@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches, checkpointed, keep
+from strata.llm.common import bounded_batches, checkpointed, free_name, keep
 from strata.llm.quality import fold
 
 LABELLED = 20_000
@@ -235,7 +235,8 @@ def _inputs(votes: np.ndarray, hits: list, words: list[str]) -> np.ndarray:
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held: int = 2,
                    threshold: float = 0.3, limit: int = LABELLED, keep_columns: bool = False) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row of ``docs`` (with ``keep_columns`` after
-    all columns of ``docs``, as ``toxicity_score`` and ``toxicity_predicted``)."""
+    all columns of ``docs``, as ``toxicity_score`` and ``toxicity_predicted``, or those names after underscores where
+    ``docs`` has them)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = keep(training_rows(docs, labels, label, folds, held, limit), "labelled")
@@ -276,8 +277,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), index=text.index)
 
     if keep_columns:
-        return docs.withColumn("toxicity_score", score("text")).withColumn(
-            "toxicity_predicted", (F.col("toxicity_score") >= threshold).cast("int"))
+        at, decided = free_name(docs, "toxicity_score"), free_name(docs, "toxicity_predicted")
+        return docs.withColumn(at, score("text")).withColumn(decided, (F.col(at) >= threshold).cast("int"))
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score("text").alias("score"))
     return got.select("doc_id", F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -156,10 +156,10 @@ def test_fuzzy_lines_of_families(spark, tmp_path, monkeypatch, seed):
     assert got == brute_lines(rows)
 
 
-def test_columns_of_the_result_are_refused(spark):
-    docs = spark.createDataFrame([(1, "a", 77)], "doc_id long, text string, n_lines int")
-    with pytest.raises(ValueError, match="n_lines"):
-        line_dedup.dedup_lines(docs)
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "a\na", 77, "x")], "doc_id long, text string, n_lines int, N_Removed string")
+    got = line_dedup.dedup_lines(docs).first().asDict()
+    assert got == {"doc_id": 1, "text": "a", "n_lines": 77, "N_Removed": "x", "_n_lines": 2, "_n_removed": 1}
 
 
 def test_rows_keep_their_numbers_when_cores_come_and_go(spark, tmp_path):
