@@ -7,9 +7,22 @@ integer widths are cast to Spark's.
 
 from __future__ import annotations
 
-from strata import presets as P
-from strata.plans.mapping import EVENT_SUSPICIOUS_VALUE
-from strata.presets import DRIVER_PRESET as DP
+from types import SimpleNamespace
+
+# Fixed values, written out: the oracle must not follow the engine's presets.
+P = SimpleNamespace(
+    UNKNOWN_LABEL="Desconocido", LABEL_NULL_TOKENS=("N/A", "NA", "Unknown", ""), CARD_PAYMENT=1,
+    DAY_NAMES={1: "domingo", 2: "lunes", 3: "martes", 4: "miércoles", 5: "jueves", 6: "viernes", 7: "sábado"},
+    MONTH_NAMES={1: "enero", 2: "febrero", 3: "marzo", 4: "abril", 5: "mayo", 6: "junio", 7: "julio",
+                 8: "agosto", 9: "septiembre", 10: "octubre", 11: "noviembre", 12: "diciembre"},
+    WEATHER_SNOW="nieve", WEATHER_HEAVY_RAIN="lluvia fuerte", WEATHER_RAIN="lluvia", WEATHER_DRY="seco",
+    WEATHER_NO_DATA="sin dato", PERIOD_WITH="con cobro", PERIOD_WITHOUT="sin cobro")
+DP = SimpleNamespace(
+    zone_min_id=1, zone_max_id=265, unknown_zone_ids=(24, 25), unknown_label="Desconocido", top_k=20,
+    focus_borough="AMERICA", cutover_slice="1998-01",
+    flags=SimpleNamespace(long_duration_min=2_000_000.0, high_speed_mph=0.02, extreme_fare=900.0),
+    weather=SimpleNamespace(snow_above=1.0, heavy_rain_from=3.0, rain_from=1.0))
+EVENT_SUSPICIOUS_VALUE = 100.0
 
 
 def R(expr: str, digits: int) -> str:
