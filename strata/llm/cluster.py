@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, checkpointed, keep, needed
+from strata.llm.common import broadcast_if_small, checkpointed, keep, lean, lean_group, needed
 
 BLOCK = 512
 #: Rows of one call of the verification, or bytes of items: it takes many small clusters together.
@@ -61,7 +61,7 @@ def spanning(edges: DataFrame) -> DataFrame:
                     out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return edges.select("a", "b").mapInPandas(forest, "a long, b long")
+    return edges.select("a", "b").mapInPandas(lean(forest), "a long, b long")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def _link(tasks: DataFrame, keys: list[str], percent: int, unpacked: Callable, r
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     together = F.pmod(F.xxhash64(*keys), F.lit(max(1, rows // BATCH)))
-    return tasks.withColumn("together", together).groupBy("together").applyInPandas(run, "a long, b long")
+    return tasks.withColumn("together", together).groupBy("together").applyInPandas(lean_group(run), "a long, b long")
 
 
 def keyed_sets(h: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def linked_stars(edges: DataFrame, items: DataFrame, percent: int, hashes: Calla
         return pd.DataFrame({"a": found["a"].to_numpy(dtype="int64"), "b": found["node"].to_numpy(dtype="int64")})
 
     both = members.unionByName(centers).withColumn("together", F.pmod(F.xxhash64("a", "part"), F.lit(groups)))
-    return both.groupBy("together").applyInPandas(run, "a long, b long")
+    return both.groupBy("together").applyInPandas(lean_group(run), "a long, b long")
 
 
 def _ways(column: str, n) -> F.Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,33 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def give_back() -> None:
+    """Return this Python worker's freed memory to the machine: workers outlive their tasks, and idle ones add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work: Callable) -> Callable:
+    """A function of batches that gives its task's memory back at the end."""
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
+def lean_group(work: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A function of a group that gives the group's memory back at the end."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = work(pdf)
+        give_back()
+        return out
+
+    return run
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a side counted to be within ``limit`` rows; beyond it Spark shuffles the join.
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches
+from strata.llm.common import bounded_batches, lean
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -270,9 +270,12 @@ def encode_column(spark: SparkSession, text: Column, path: str = MODEL, scores:
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(pieces.value)
-        for batch in batches:
-            yield pd.Series(list(encoder(batch.tolist())), index=batch.index, dtype=object)
+        def work(batches):
+            encoder = Encoder(pieces.value)
+            for batch in batches:
+                yield pd.Series(list(encoder(batch.tolist())), index=batch.index, dtype=object)
+
+        yield from lean(work)(batches)
 
     return run(text)
 
@@ -288,20 +291,28 @@ def decode_column(spark: SparkSession, ids: Column, path: str = MODEL, scores: s
     return run(ids)
 
 
-def encode(docs: DataFrame, path: str = MODEL, scores: str = "zipf") -> DataFrame:
-    """``doc_id``, ``ids``, ``n_tokens`` and ``round_trip`` (whether decoding gives the text back) for every row."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+def coded_column(spark: SparkSession, text: Column, path: str = MODEL, scores: str = "zipf") -> Column:
+    """``ids`` of a text and the text ``decoded`` from them, in one pass."""
     pieces = _shared(spark, path, scores)
 
-    @F.pandas_udf("ids array<int>, round_trip boolean")
+    @F.pandas_udf("ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(pieces.value)
-        for batch in batches:
-            texts = batch.tolist()
-            ids = list(encoder(texts))
-            same = [decode_ids(pieces.value, x) == (t if isinstance(t, str) else "") for x, t in zip(ids, texts, strict=True)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)}).set_index(batch.index)
+        def work(batches):
+            encoder = Encoder(pieces.value)
+            for batch in batches:
+                ids = list(encoder(batch.tolist()))
+                back = [decode_ids(pieces.value, x) for x in ids]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(back, dtype=object)}).set_index(batch.index)
+
+        yield from lean(work)(batches)
 
-    coded = docs.select("doc_id", run("text").alias("coded"))
-    return coded.select("doc_id", "coded.ids", F.size("coded.ids").alias("n_tokens"), "coded.round_trip")
+    return run(text)
+
+
+def encode(docs: DataFrame, path: str = MODEL, scores: str = "zipf") -> DataFrame:
+    """``doc_id``, ``ids``, ``n_tokens`` and ``round_trip`` (whether decoding gives the text back) for every row."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    coded = docs.select("doc_id", "text", coded_column(spark, F.col("text"), path, scores).alias("coded"))
+    same = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "coded.ids", F.size("coded.ids").alias("n_tokens"), same.alias("round_trip"))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches, checkpointed, free_name, keep
+from strata.llm.common import bounded_batches, checkpointed, free_name, give_back, keep, lean
 from strata.llm.quality import fold
 
 LABELLED = 20_000
@@ -132,7 +132,7 @@ def mine_words(rows: DataFrame, count: int = MINED_WORDS) -> list[list[str]]:
         return run
 
     def counts(y: int, wanted) -> DataFrame:
-        part = rows.filter(F.col("y") == y).select("text").mapInPandas(counted(wanted), "word string, n long")
+        part = rows.filter(F.col("y") == y).select("text").mapInPandas(lean(counted(wanted)), "word string, n long")
         return part.groupBy("word").agg(F.sum("n").alias("n"))
 
     total = rows.agg(F.sum(1 - F.col("y")), F.sum("y")).first()
@@ -251,9 +251,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
 
     schema = "votes array<int>, hits array<string>, y int"
     # every document's votes; a label joins its pattern's counts
-    all_votes = docs.select("text", F.lit(0).alias("y")).mapInPandas(vote, schema).groupBy("votes").agg(
+    all_votes = docs.select("text", F.lit(0).alias("y")).mapInPandas(lean(vote), schema).groupBy("votes").agg(
         F.count(F.lit(1)).alias("n")).collect()
-    sample = rows.select("text", "y").mapInPandas(vote, schema).collect()
+    sample = rows.select("text", "y").mapInPandas(lean(vote), schema).collect()
     patterns = {tuple(r.votes): [r.n, 0, 0] for r in all_votes}
     for r in sample:
         patterns.setdefault(tuple(r.votes), [1, 0, 0])[1 + r.y] += 1
@@ -274,6 +274,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", fol
         if weights is None:
             return pd.Series(np.where((votes == 1).any(1), 0.9, 0.05), index=text.index)
         x = _inputs(votes, [h for _, h in out], words)
+        give_back()
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), index=text.index)
 
     if keep_columns:
