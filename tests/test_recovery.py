@@ -171,3 +171,40 @@ def test_layout_size_counts_the_slices_that_are_read(spark, tmp):
     one = W.slice_bytes(spark, p, "m", ["2025-01"])
     assert 0 < one < whole / 4 and W.slice_bytes(spark, p, "m", ["2030-01"]) == 0
     assert abs(W.slice_bytes(spark, p, "m", [f"2025-0{k}" for k in range(1, 6)]) - whole) < whole * 0.1
+
+
+def test_tagged_write_stopped_anywhere_leaves_whole_slices(spark, tmp):
+    """Two tables from one write: each has its old or its new slices, and a repetition ends right."""
+    schema = "k int, good boolean, m string"
+    one = spark.createDataFrame([(k, k % 3 > 0, f"m{k % 2}") for k in range(12)], schema)
+    two = spark.createDataFrame([(k + 100, k % 4 > 0, "m0") for k in range(8)], schema)  # m1 empties
+
+    def write(df, p):
+        return W.replace_tagged(df, "good", "m", ["m0", "m1"], {False: (f"{p}/bad", "entity", "e_"), True: (f"{p}/fine", "m", "")})
+
+    def state(p):
+        return tuple(tuple(sorted((r.k, r[c]) for r in W.read_table(spark, f"{p}/{t}", f"k int, {c} string").collect()))
+                     for t, c in (("bad", "entity"), ("fine", "m")))
+
+    assert write(one, f"{tmp}/a") == {False: {"m0": 2, "m1": 2}, True: {"m0": 4, "m1": 4}}
+    before = state(f"{tmp}/a")
+    shutil.copytree(f"{tmp}/a", f"{tmp}/b")
+    assert write(two, f"{tmp}/b") == {False: {"m0": 2, "m1": 0}, True: {"m0": 6, "m1": 0}}
+    after = state(f"{tmp}/b")
+    assert after[0] == ((100, "e_m0"), (104, "e_m0")) and before[0][0] == (0, "e_m0")
+    n, finished = 0, False
+    while not finished:
+        n += 1
+        p = shutil.copytree(f"{tmp}/a", f"{tmp}/t{n}")
+        with pytest.MonkeyPatch.context() as m:
+            taken = stop_at(m, n)
+            try:
+                write(two, p)
+            except Stop:
+                pass
+        finished = len(taken) < n
+        got = state(p)
+        assert got[0] in (before[0], after[0]) and got[1] in (before[1], after[1]), n
+        write(two, p)
+        assert state(p) == after, n
+    assert n > 12
