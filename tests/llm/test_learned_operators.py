@@ -120,6 +120,79 @@ def test_code_and_bits_are_a_probability():
     assert abs((10 ** (one - first)).sum() - 1) < 1e-4
 
 
+def naive_score(model: context_mixing.Model, text) -> float:
+    """The text's tokens one by one, each after the word before it."""
+    tokens = (text or "").encode().lower().split()
+    total = 0.0
+    for k, w in enumerate([*(t + b" " for t in tokens), b"\n"]):
+        total += model.log10([w], [tokens[k - 1]] if k else None)[0]
+    return total
+
+
+def small_model() -> context_mixing.Model:
+    code, r = context_mixing.Code(np.arange(256) % 7 + 1), np.random.RandomState(3)
+    tables = [r.randn(2, 1 << b).astype(np.float32) for b in context_mixing.TABLE_BITS]
+    weights = r.rand(context_mixing.GATES, 2 * context_mixing.CONTEXTS).astype(np.float32) / 5
+    return context_mixing.Model(code, tables, weights, r.rand(context_mixing.GATES, context_mixing.MAP_CELLS))
+
+
+TEXTS = ["One two three two three.", "", None, "a", " a b a b a b ", "ab abc abcd abcde\tabcdef", "\x00 \x00\x00 é 日本 x\x0by",
+         "two three one", "three two one", "x" * 300 + " y"]
+
+
+def test_tokens_coded_once_score_as_the_whole_text():
+    model = small_model()
+    words = context_mixing.Words(TEXTS)
+    got = np.bincount(words.owner, weights=model.of_words(words), minlength=len(TEXTS))
+    assert np.allclose(got, [naive_score(model, t) for t in TEXTS], atol=1e-3)
+    assert np.bincount(words.owner, weights=words.coded_bytes()).tolist() == [
+        sum(len(w) + 1 for w in (t or "").encode().split()) + 1 for t in TEXTS]
+
+
+def test_contexts_cross_words():
+    """The order of words counts, and what follows a word is a distribution of its own."""
+    model = small_model()
+    assert abs(naive_score(model, "two three one") - naive_score(model, "three two one")) > 1e-3
+    first = {b: model.log10([bytes([k]) for k in range(256)], [b] * 256) for b in (b"one", b"two", b"bone")}
+    assert all(abs((10 ** p).sum() - 1) < 1e-4 for p in first.values())
+    assert np.abs(first[b"one"] - first[b"two"]).max() > 1e-3 and np.abs(first[b"one"] - first[b"bone"]).max() > 1e-3
+
+
+def test_a_known_sequence_beats_its_shuffled_words(spark, tmp_path):
+    phrase = prose(9, 60).split()
+    shuffled = random.Random(1).sample(phrase, len(phrase))
+    held = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 10 == 0][:2]
+    rows = [(k, " ".join(phrase if k % 2 else [prose(k, 30)])) for k in range(200) if k not in held]
+    rows += [(held[0], " ".join(phrase)), (held[1], " ".join(shuffled))]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r for r in context_mixing.score_texts(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got[held[0]].held_out and got[held[1]].held_out
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score, abs=1e-6)
+    assert got[held[0]].score > got[held[1]].score + 1
+
+
+def test_share_weight_is_fitted():
+    coded_part, share = np.array([0.5, 0.5, 0.5, 0.001]), np.array([0.01, 0.02, 0.0, 0.3])
+    got = context_mixing.fitted_weight(coded_part, share, 0.99, 200)
+    tried = np.linspace(0, 1, 1001)[1:-1]
+    best = tried[np.argmax(np.log(tried[:, None] * share + (1 - tried[:, None]) * coded_part).sum(1))]
+    assert got == pytest.approx(best, abs=0.002)
+
+
+def test_every_training_document_teaches_the_tables(spark, tmp_path):
+    """A word that only documents of the weights' fold hold is in the final tables."""
+    apart = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 100 % 10 == context_mixing.MIX_FOLD
+             and zlib.crc32(str(k).encode()) % 10][:20]
+    rows = [(k, "qzxjv " * 5) for k in apart]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    _, letters = context_mixing.count_tables(docs)
+    none = spark.sparkContext.broadcast((np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)))
+    model, _ = context_mixing.train_model(docs.limit(0), docs, letters, none, 0.0)
+    known = context_mixing.predictors(context_mixing.coded(next(context_mixing.Words(["qzxjv"]).units())[0], model.code)[3], model.tables)[1]
+    assert known.min() == context_mixing.CONTEXTS
+
+
 def test_nearest(spark, tmp_path):
     r = np.random.RandomState(0)
     x = r.normal(size=(600, 8)).round(3)
