@@ -216,3 +216,16 @@ def test_rare_dedupe_keeps_the_same_rows(spark, tmp, keys):
     stored = spark.read.parquet(f"{tmp}/u")
     assert canon(facts.dedupe_rare(stored, keys)) == canon(stored)
     assert "Exchange hashpartitioning" not in plan_of(facts.dedupe_rare(stored, keys))  # nothing repeated: nothing shuffled
+
+
+def test_dedupe_rare_with_many_repeated_keys(spark, tmp, monkeypatch):
+    """Beyond RARE_KEYS the rows are dealt by key, to tasks whose number follows the rows; the survivors stay."""
+    monkeypatch.setattr(facts, "RARE_KEYS", 10)
+    monkeypatch.setattr(facts, "TASK_ROWS", 40)
+    rows = [(k % 400 if k % 7 else None, k % 3, str(k % 5)) for k in range(1600)]
+    spark.createDataFrame(rows, "id int, a int, b string").write.parquet(f"{tmp}/t")
+    df = spark.read.parquet(f"{tmp}/t")
+    got = facts.dedupe_rare(df, ["id"])
+    canon = lambda d: sorted(map(repr, d.collect()))
+    assert canon(got) == canon(facts.dedupe(df, ["id"])) and got.count() == len({r[0] for r in rows})
+    assert got.rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, 40)
