@@ -36,7 +36,7 @@ MARK = "▁"
 #: What a character without a piece costs below the least score.
 UNKNOWN_PENALTY = 10.0
 #: Chunks held in a task's cache, characters of texts that are taken together, and of new chunks encoded at a time.
-CACHE, AT_ONCE, VITERBI = 120_000, 1 << 18, 1 << 16
+CACHE, AT_ONCE, VITERBI = 120_000, 1 << 15, 1 << 13
 _CHUNK = re.compile(r" *[^ ]+| +")
 
 
